@@ -31,7 +31,8 @@ TREES, SAMPLE, SEED, CONTAMINATION = 200, 256, 42, 0.08
 _EULER_GAMMA = 0.5772156649015329
 _HASH_RANGE = 2**62
 
-_NODES = "tree_id INT, node INT, feature INT, threshold DOUBLE, left INT, right INT, path DOUBLE"
+_NODES = "tree_id INT, node INT, feature INT, threshold DOUBLE, below INT, path DOUBLE"
+_CHUNK = 2048
 
 
 def average_path(n: int) -> float:
@@ -46,30 +47,28 @@ def average_path(n: int) -> float:
 def grow_tree(rows: np.ndarray, rng: np.random.Generator, depth_limit: int) -> list[tuple]:
     """Split on a random feature at a random point until rows are alone.
 
-    A leaf points to itself, so that scoring can step a fixed number of times.
+    Nodes are (node, feature, threshold, below, path). The upper child of a
+    node follows the lower one, and a leaf is its own lower child, so scoring
+    takes the same number of plain steps for every row.
     """
-    nodes: list[tuple] = []
-
-    def build(members: np.ndarray, depth: int) -> int:
-        me = len(nodes)
-        nodes.append(())
+    nodes: list[tuple] = [()]
+    waiting = [(0, rows, 0)]
+    while waiting:
+        me, members, depth = waiting.pop()
         low, high = members.min(axis=0), members.max(axis=0)
         varying = np.flatnonzero(high > low)
         if depth >= depth_limit or len(members) <= 1 or len(varying) == 0:
-            nodes[me] = (me, 0, 0.0, me, me, depth + average_path(len(members)))
-            return me
+            nodes[me] = (me, 0, np.inf, me, depth + average_path(len(members)))
+            continue
         feature = int(rng.choice(varying))
         cut = float(rng.uniform(low[feature], high[feature]))
-        below = members[:, feature] <= cut
-        if below.all():  # the cut rounded up to the maximum
-            cut = float(np.nextafter(cut, -np.inf))
-            below = members[:, feature] <= cut
-        left = build(members[below], depth + 1)
-        right = build(members[~below], depth + 1)
-        nodes[me] = (me, feature, cut, left, right, 0.0)
-        return me
-
-    build(rows, 0)
+        if cut >= high[feature]:  # rounded up to the maximum
+            cut = float(low[feature])
+        above = members[:, feature] > cut
+        child = len(nodes)
+        nodes[me] = (me, feature, cut, child, 0.0)
+        nodes += [(), ()]
+        waiting += [(child, members[~above], depth + 1), (child + 1, members[above], depth + 1)]
     return nodes
 
 
@@ -77,21 +76,26 @@ def outlier_scores(
     x: np.ndarray,
     feature: np.ndarray,
     threshold: np.ndarray,
-    left: np.ndarray,
-    right: np.ndarray,
+    below: np.ndarray,
     path: np.ndarray,
     depth: int,
     sample: int,
 ) -> np.ndarray:
-    """2^(-mean path / expected path): near 1 is an outlier, near 0.5 ordinary."""
+    """2^(-mean path / expected path): near 1 is an outlier, near 0.5 ordinary.
+
+    Rows go in chunks that stay in the processor cache.
+    """
+    x = np.ascontiguousarray(x)
     total = np.zeros(len(x))
-    row = np.arange(len(x))
-    for t in range(len(feature)):
-        at = np.zeros(len(x), dtype=np.int32)
-        for _ in range(depth):
-            below = x[row, feature[t][at]] <= threshold[t][at]
-            at = np.where(below, left[t][at], right[t][at])
-        total += path[t][at]
+    for start in range(0, len(x), _CHUNK):
+        part = x[start : start + _CHUNK]
+        flat, row = part.ravel(), np.arange(len(part)) * part.shape[1]
+        for t in range(len(feature)):
+            at = np.zeros(len(part), dtype=np.intp)
+            for _ in range(depth):
+                value = flat.take(row + feature[t].take(at))
+                at = below[t].take(at) + (value > threshold[t].take(at))
+            total[start : start + _CHUNK] += path[t].take(at)
     expected = average_path(sample) or 1.0
     return np.power(2.0, -(total / len(feature)) / expected)
 
@@ -102,15 +106,14 @@ class ForestModel:
 
     feature: np.ndarray
     threshold: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
+    below: np.ndarray
     path: np.ndarray
     depth: int
     sample: int
     cols: tuple[str, ...]
 
     def arguments(self) -> tuple:
-        return (self.feature, self.threshold, self.left, self.right, self.path, self.depth, self.sample)
+        return (self.feature, self.threshold, self.below, self.path, self.depth, self.sample)
 
 
 def _model_from_nodes(nodes: pd.DataFrame, depth: int, sample: int, cols: Sequence[str]) -> ForestModel:
@@ -124,10 +127,9 @@ def _model_from_nodes(nodes: pd.DataFrame, depth: int, sample: int, cols: Sequen
         return out
 
     return ForestModel(
-        table("feature", np.int32),
+        table("feature", np.intp),
         table("threshold", np.float64),
-        table("left", np.int32),
-        table("right", np.int32),
+        table("below", np.intp),
         table("path", np.float64),
         depth,
         sample,
@@ -153,11 +155,11 @@ def tree_samples(
     threshold keeps a few candidates per tree, and the lowest hashes win.
     """
     pool_size = min(rows, 2 * trees * sample)
-    key_cols = [F.col(k) for k in keys]
-    pool = df.filter(_below(_hash(seed, *key_cols), pool_size / max(rows, 1)))
+    keyed = df.withColumn("_row", _hash(seed, *[F.col(k) for k in keys]))
+    pool = keyed.filter(_below(F.col("_row"), pool_size / max(rows, 1)))
     drawn = (
-        pool.select(*keys, *cols, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree_id"))
-        .withColumn("_draw", _hash(seed + 1, F.col("tree_id"), *key_cols))
+        pool.select("_row", *keys, *cols, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree_id"))
+        .withColumn("_draw", _hash(seed + 1, F.col("tree_id"), F.col("_row")))
         .filter(_below(F.col("_draw"), 4.0 * sample / max(pool_size, 1)))
     )
     # A tree has about 4 x sample candidates, so this group is bounded as well.
@@ -186,7 +188,7 @@ def fit_forest(
         group = group.sort_values("_place")
         tree = int(group["tree_id"].iloc[0])
         nodes = grow_tree(group[names].to_numpy(dtype=np.float64), np.random.default_rng([seed, tree]), depth)
-        out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "left", "right", "path"])
+        out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "below", "path"])
         out.insert(0, "tree_id", tree)
         return out
 

@@ -194,10 +194,10 @@ ORACLES["to_canonical"] = f"""with {TX} select {stamp("transaction_date")} as tr
   cast(vendor_id as varchar) as vendor_id, cast(meter_number as varchar) as meter_number, account_number,
   cast(receipt_number as varchar) as receipt_number, purchase_amount, electricity_units, town from tx"""
 
-ORACLES["stream_ingest"] = """select cast(event_id as varchar) as transaction_id, cast(user_id as varchar) as meter_id,
+ORACLES["stream_ingest"] = f"""select cast(event_id as varchar) as transaction_id, cast(user_id as varchar) as meter_id,
   cast(null as varchar) as token_id, value * 1000 as purchase_amount, value as units_purchased,
   cast(null as varchar) as vendor_id, cast(null as varchar) as vending_point_id,
-  strftime(date_trunc('millisecond', ts), '%Y-%m-%d %H:%M:%S.%f') as transaction_date,
+  {stamp("ts")} as transaction_date,
   cast(null as varchar) as payment_method, cast(user_id as varchar) as customer_id, event_type as region,
   'kafka' as source_file, 'PENDING' as data_quality_status from events"""
 

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from wattline.schemas import MESSAGE
 
+# The default JSON format stops at milliseconds; this one loses nothing.
+MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 
 def kafka_source(
     spark: SparkSession,
@@ -38,5 +41,5 @@ def to_messages(df: DataFrame) -> DataFrame:
     fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in MESSAGE if f.name in df.columns]
     return df.select(
         F.col("transaction_id").cast("string").alias("key"),
-        F.to_json(F.struct(*fields)).alias("value"),
+        F.to_json(F.struct(*fields), {"timestampFormat": MICROSECONDS}).alias("value"),
     )
