@@ -93,7 +93,7 @@ def test_towns_without_revenue_come_last(spark):
 
 def test_broker_source_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
-        broker.kafka_source(spark, "localhost:9092", "vending-transactions", max_per_trigger=1000)
+        broker.kafka_source(spark, "localhost:9092", "sales", max_per_trigger=1000)
 
 
 def test_catalog_table_is_created_once(spark):

@@ -18,8 +18,8 @@ _SMALL = ("monthly_revenue", "town_summary", "payment_trends", "daily_features")
 
 
 def build_bronze(spark: SparkSession, csv_path: str, out: str, fmt: str = "parquet") -> DataFrame:
-    """Export files to an all-text table, file sizes left to AQE."""
-    write_table(layout(read_raw_csv(spark, csv_path)), out, fmt=fmt)
+    """Export files to an all-text table; each input split becomes one file."""
+    write_table(read_raw_csv(spark, csv_path), out, fmt=fmt)
     return read_table(spark, out, fmt)
 
 
@@ -37,10 +37,9 @@ def build_gold(
     """Write every gold table; returns name -> path.
 
     Silver is read twice and no more: once per day and town for the calendar
-    and town tables, once per customer for everything else.
+    and town tables and the last day, once per customer for everything else.
     """
     spark = silver.sparkSession
-    day = gold.as_of_column(silver, as_of)
     paths = {
         name: f"{out}/{name}"
         for name in (
@@ -57,11 +56,11 @@ def build_gold(
     for name in _SMALL:
         store(name, getattr(gold, name)(by_day))
 
+    day = by_day.agg(F.max("date")).scalar() if as_of is None else as_of
     profile = store("customer_profile", features.customer_profile(silver, day))
     store("customer_summary", gold.customer_summary_from(profile))
     store("token_depletion", features.token_depletion_from(profile))
-    rules_day = profile.agg(F.max("last_transaction_date")).scalar() if as_of is None else day
-    store("gold_anomaly_rules", gold.anomaly_rules(gold.fraud_base_from(profile), rules_day))
+    store("gold_anomaly_rules", gold.anomaly_rules(gold.fraud_base_from(profile), day))
     behaviour = store("meter_behaviour", features.recent_history_from(profile))
     store("risk_features", features.risk_features(profile, behaviour))
     return paths

@@ -155,6 +155,10 @@ def profile(spark: SparkSession, folder: str) -> DataFrame:
     return features.customer_profile(branch_sales(spark, folder), latest_date(spark, folder))
 
 
+def customer_features(spark: SparkSession, folder: str) -> DataFrame:
+    return revenue.customer_features(branch_sales(spark, folder), latest_date(spark, folder))
+
+
 def stored_features(spark: SparkSession, folder: str) -> DataFrame:
     return revenue.store_features(branch_sales(spark, folder), latest_date(spark, folder))
 
@@ -197,7 +201,7 @@ def parquet_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def bronze_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "bronze")
-    sinks.write_table(sinks.layout(raw_sales(spark, folder)), path)
+    sinks.write_table(raw_sales(spark, folder), path)
     return files.read_table(spark, path)
 
 
@@ -421,12 +425,12 @@ def recent_history(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def risk_features(spark: SparkSession, folder: str) -> DataFrame:
-    return stored_features(spark, folder)
+    return customer_features(spark, folder)
 
 
 @query
 def risk_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    matrix = stored_features(spark, folder).transform(features.sanitize)
+    matrix = customer_features(spark, folder).transform(features.sanitize)
     return matrix.select(*schemas.CUSTOMER_KEYS, *schemas.MODEL_FEATURES)
 
 
@@ -469,7 +473,7 @@ def risk_tiers(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def documented_rules(spark: SparkSession, folder: str) -> DataFrame:
-    ruled = risk.documented_rules(stored_features(spark, folder))
+    ruled = risk.documented_rules(customer_features(spark, folder))
     share = F.col("max_purchase") / F.lit(105000.0)
     return risk.risk_category(ruled, share).select(
         *schemas.CUSTOMER_KEYS, "rule_never_bought", "rule_sharp_decline", "rule_inactive_6months", "risk_category"

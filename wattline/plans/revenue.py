@@ -11,15 +11,22 @@ from wattline.operators import features, forest, reports, risk
 from wattline.session import materialize
 
 
-def store_features(tx: DataFrame, as_of: Column | datetime.date | None = None) -> DataFrame:
-    """Risk features of all customers, written once to the shared folder.
+def customer_features(tx: DataFrame, as_of: Column | datetime.date | None = None) -> DataFrame:
+    """Risk features of all customers over one aggregation of the transactions.
 
-    The transactions are aggregated a single time. Quantiles, scaling, the
-    forest and the final projection then read customer-level files.
+    The profile and the meter behaviour are stored, the join of the two is not.
     """
     profile = materialize(features.customer_profile(tx, as_of), "profile")
     behaviour = materialize(features.recent_history_from(profile), "behaviour")
-    return materialize(features.risk_features(profile, behaviour), "risk-features")
+    return features.risk_features(profile, behaviour)
+
+
+def store_features(tx: DataFrame, as_of: Column | datetime.date | None = None) -> DataFrame:
+    """The same, written to the shared folder for operators that read it several times.
+
+    Quantiles, scaling, the forest and the final projection each take a pass.
+    """
+    return materialize(customer_features(tx, as_of), "risk-features")
 
 
 def score_customers(risk_features: DataFrame, **forest_options) -> DataFrame:

@@ -47,6 +47,13 @@ def csv_stream(
 
 
 def parquet_stream(
-    spark: SparkSession, directory: str, schema: T.StructType, glob: str = "*.parquet"
+    spark: SparkSession,
+    directory: str,
+    schema: T.StructType,
+    glob: str = "*.parquet",
+    max_files: int | None = None,
 ) -> DataFrame:
-    return spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(directory)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(directory)

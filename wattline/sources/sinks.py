@@ -15,12 +15,13 @@ def layout(df: DataFrame, files: int | None = None, by: Sequence[str] = ()) -> D
     With `by`, rows meet by those columns and AQE splits the large groups and
     merges the small ones towards its advisory size, so a hot month does not
     land in one task. With `files` alone the count is fixed; 1 means a merge
-    without a shuffle and suits only small results.
+    without a shuffle and suits only small results. With neither, tasks write
+    what they hold and nothing is moved.
     """
     if by:
         return df.hint("rebalance", *by)
     if files is None:
-        return df.hint("rebalance")
+        return df
     return df.coalesce(1) if files == 1 else df.repartition(files)
 
 

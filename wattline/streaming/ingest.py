@@ -19,7 +19,7 @@ def ingest_stream(
     path: str,
     checkpoint: str,
     trigger: dict | None = None,
-    name: str | None = "vending_stream_ingestion",
+    name: str | None = "bronze_ingest",
     source: str = "kafka",
     fmt: str = "parquet",
 ) -> StreamingQuery:
