@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wattline.operators import forest
+from wattline.operators import features, forest
 from wattline.session import materialize
 
 COLS = ["x", "y"]
@@ -41,6 +41,12 @@ def test_scores_do_not_depend_on_partitions(cloud):
     assert a.exceptAll(b).isEmpty()
 
 
+def test_scaling_changes_nothing(cloud):
+    a = forest.forest_scores(cloud, **SMALL).select("id", F.round("risk_score", 9))
+    b = forest.forest_scores(features.standardize(cloud, COLS), **SMALL).select("id", F.round("risk_score", 9))
+    assert a.exceptAll(b).isEmpty()
+
+
 def test_seed_matters(cloud):
     a = forest.forest_scores(cloud, **SMALL, seed=1).agg(F.max("risk_score")).first()[0]
     b = forest.forest_scores(cloud, **SMALL, seed=2).agg(F.max("risk_score")).first()[0]

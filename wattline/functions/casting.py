@@ -41,7 +41,6 @@ def guarded_ratio(numerator: Column, denominator: Column, default: float = 1.0)
 
 
 def finite_or_zero(c: Column) -> Column:
-    """NULL, NaN and the infinities read as 0."""
+    """NULL, NaN and the infinities read as 0: only finite values cancel to 0."""
     d = c.cast("double")
-    bad = d.isNull() | F.isnan(d) | (F.abs(d) == F.lit(float("inf")))
-    return F.when(bad, F.lit(0.0)).otherwise(d)
+    return F.when(d - d == 0, d).otherwise(F.lit(0.0))

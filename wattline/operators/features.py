@@ -185,15 +185,15 @@ def sanitize(df: DataFrame, cols: Sequence[str] = MODEL_FEATURES) -> DataFrame:
 
 def standardize(df: DataFrame, cols: Sequence[str] = MODEL_FEATURES) -> DataFrame:
     """Zero mean, unit population deviation; a constant column becomes 0."""
-    stats = df.agg(
+    moments = df.agg(
         *[F.avg(c).alias(f"{c}_mean") for c in cols], *[F.stddev_pop(c).alias(f"{c}_std") for c in cols]
     )
-
-    def scaled(c: str) -> Column:
-        mean, std = F.col(f"stats.{c}_mean"), F.col(f"stats.{c}_std")
-        return F.when(std > 0, (F.col(c) - mean) / std).otherwise(F.col(c) - mean)
-
-    return attach_scalars(df, stats).withColumns({c: scaled(c) for c in cols}).drop("stats")
+    scales = {f"{c}_std": F.when(F.col(f"{c}_std") > 0, F.col(f"{c}_std")).otherwise(F.lit(1.0)) for c in cols}
+    return (
+        attach_scalars(df, moments.withColumns(scales))
+        .withColumns({c: (F.col(c) - F.col(f"stats.{c}_mean")) / F.col(f"stats.{c}_std") for c in cols})
+        .drop("stats")
+    )
 
 
 def token_depletion_from(profile: DataFrame) -> DataFrame:

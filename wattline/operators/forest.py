@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.functions.quantiles import attach_scalars, exact_quantiles
-from wattline.operators.features import sanitize, standardize
+from wattline.operators.features import sanitize
 from wattline.operators.risk import risk_tiers, scenario_flags
 from wattline.schemas import CUSTOMER_KEYS, MODEL_FEATURES
 from wattline.session import materialize
@@ -240,12 +240,13 @@ def forest_scores(
 ) -> DataFrame:
     """Features with the forest's decision, prediction and risk score.
 
-    The model reads sanitised, standardised copies of the columns; the result
-    carries the originals.
+    The model reads sanitised copies of the columns; the result carries the
+    originals. Scaling them first (`features.standardize`) would change nothing:
+    cuts fall evenly between the smallest and the largest value, so any linear
+    scaling grows the same trees.
     """
     copies = {c: f"_z_{c}" for c in cols}
-    inputs = features.withColumns({z: F.col(c) for c, z in copies.items()})
-    inputs = standardize(sanitize(inputs, list(copies.values())), list(copies.values()))
+    inputs = sanitize(features.withColumns({z: F.col(c) for c, z in copies.items()}), list(copies.values()))
     model = fit_forest(inputs, list(copies.values()), trees, sample, seed, keys)
     scored = score_forest(inputs, model).drop(*copies.values())
     # Stored once: the quantile below and those of the tiers read it again.
