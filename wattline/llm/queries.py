@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import mixing
+from wattline.llm import lines, mixing
 from wattline.llm.common import table
 from wattline.session import materialize
 
@@ -50,5 +50,37 @@ select doc_id, size, source_size, target,
 from r
 """
 
-QUERIES = {"op1_mix_sources": op1_mix_sources}
-ORACLES = {"op1_mix_sources": OP1_SQL}
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines before and after removing shared ones, and the digest of what stays."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs).select(
+        "row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+OP5_SQL = r"""
+with l as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos
+  from documents),
+k as (
+  select *, translate(trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from l),
+s as (
+  select key, max(doc_id) as keeper from k where length(key) >= 40 group by key having count(distinct doc_id) >= 5),
+f as (select k.*, s.keeper is not null and s.keeper <> k.doc_id as gone from k left join s using (key))
+select doc_id, count(*)::bigint as n_lines, count(*) filter (gone)::bigint as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not gone), '')) as kept_sha256
+from f group by doc_id
+"""
+
+QUERIES = {
+    "op1_mix_sources": op1_mix_sources,
+    "op5_line_dedup": op5_line_dedup,
+}
+ORACLES = {
+    "op1_mix_sources": OP1_SQL,
+    "op5_line_dedup": OP5_SQL,
+}
