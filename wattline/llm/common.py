@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,3 +63,29 @@ def sorted_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterato
             last = key
     if held:
         yield pa.Table.from_batches(held)
+
+
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of at most `max_bytes` of a string or binary column, or of one row if that is longer."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends, start = np.cumsum(sizes), 0
+    while start < batch.num_rows:
+        done = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, done + max_bytes, "right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
+def byte_texts(column: pa.Array) -> list[bytes]:
+    """UTF-8 bytes of a string column; a null is empty."""
+    return pc.fill_null(column, "").cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()
+
+
+def write_blobs(blobs: DataFrame, path: str) -> None:
+    """Each value of the one binary column as a file of its own, followed by a line feed.
+
+    Spark's text writer puts the bytes down as they are, reaches every file system that Spark reaches, and commits the
+    files of a task at once, so that a lost executor leaves none behind.
+    """
+    (name,) = blobs.columns
+    blobs.select(F.col(name).cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(path)

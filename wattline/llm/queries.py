@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import lines, mixing
+from wattline.llm import lines, mixing, token_files
 from wattline.llm.common import table
 from wattline.session import materialize
 
@@ -76,9 +77,18 @@ select doc_id, count(*)::bigint as n_lines, count(*) filter (gone)::bigint as n_
 from f group by doc_id
 """
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each document lies among all ids, read back from the written files."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = token_files.save(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    found = token_files.read(spark, path).select("file", "doc_id", "place", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return token_files.with_starts(materialize(found, "token-places")).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op5_line_dedup": op5_line_dedup,
+    "op7_token_files": op7_token_files,
 }
 ORACLES = {
     "op1_mix_sources": OP1_SQL,
