@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import lines, mixing, token_files
+from wattline.llm import hyperplanes, lines, mixing, token_files
 from wattline.llm.common import table
 from wattline.session import materialize
 
@@ -85,12 +85,36 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_starts(materialize(found, "token-places")).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return hyperplanes.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP10_SQL = """
+with recursive v as (
+  select vec_id, label, embedding::double[] as e from embeddings
+  where label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.e, b.e) >= 0.98),
+r as (select a as node, a as reached from p union select r.node, p.b from r join p on r.reached = p.a),
+c as (select node, min(reached) as root from r group by node),
+n as (select a, count(*) as links from p group by a)
+select vec_id, coalesce(links, 0)::bigint as n_links, coalesce(root, vec_id) as component_id,
+  coalesce(root, vec_id) = vec_id as kept
+from embeddings left join n on n.a = vec_id left join c on c.node = vec_id
+"""
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op5_line_dedup": op5_line_dedup,
     "op7_token_files": op7_token_files,
+    "op10_near_vectors": op10_near_vectors,
 }
 ORACLES = {
     "op1_mix_sources": OP1_SQL,
     "op5_line_dedup": OP5_SQL,
+    "op10_near_vectors": OP10_SQL,
 }
