@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import hyperplanes, lines, mixing, token_files
+from wattline.llm import hyperplanes, lines, minhash, mixing, token_files
 from wattline.llm.common import table
 from wattline.session import materialize
 
@@ -85,6 +85,33 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_starts(materialize(found, "token-places")).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op9_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and component of every document."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP9_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w
+  from documents),
+s as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as shingle
+  from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+m as (select x.doc_id as a, y.doc_id as b, count(*) as common from s x join s y on x.shingle = y.shingle and x.doc_id <> y.doc_id
+  group by all),
+p as (
+  select a, b from m join n x on x.doc_id = a join n y on y.doc_id = b where 100 * common >= 75 * (x.n + y.n - common)),
+r as (select a as node, a as reached from p union select r.node, p.b from r join p on r.reached = p.a),
+c as (select node, min(reached) as root from r group by node)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, coalesce(root, d.doc_id) as component_id,
+  coalesce(root, d.doc_id) = d.doc_id as kept
+from documents d left join n on n.doc_id = d.doc_id left join c on c.node = d.doc_id
+"""
+
+
 def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector."""
     return hyperplanes.near_vectors(table(spark, sf_dir, "embeddings"))
@@ -111,10 +138,12 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op5_line_dedup": op5_line_dedup,
     "op7_token_files": op7_token_files,
+    "op9_near_documents": op9_near_documents,
     "op10_near_vectors": op10_near_vectors,
 }
 ORACLES = {
     "op1_mix_sources": OP1_SQL,
     "op5_line_dedup": OP5_SQL,
+    "op9_near_documents": OP9_SQL,
     "op10_near_vectors": OP10_SQL,
 }
