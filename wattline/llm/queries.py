@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import hyperplanes, lines, minhash, mixing, token_files
+from wattline.llm import hyperplanes, lines, minhash, mixing, token_files, warc_zip
 from wattline.llm.common import table
 from wattline.session import materialize
 
@@ -52,6 +52,23 @@ from r
 """
 
 
+def op2_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record of every page, read back from the packages."""
+    path = warc_zip.save(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return warc_zip.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP2_SQL = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, strlen(html)::bigint as payload_bytes, sha256(html) as payload_digest from p),
+f as (select *, min(page_id) over (partition by payload_digest) as first from d),
+r as (select *, case when payload_bytes >= 100 and page_id <> first then first end as refers_to from f)
+select page_id, payload_bytes, payload_digest,
+  case when refers_to is null then 'response' else 'revisit' end as record_type, refers_to
+from r
+"""
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines before and after removing shared ones, and the digest of what stays."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -136,6 +153,7 @@ from embeddings left join n on n.a = vec_id left join c on c.node = vec_id
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_warc_packages": op2_warc_packages,
     "op5_line_dedup": op5_line_dedup,
     "op7_token_files": op7_token_files,
     "op9_near_documents": op9_near_documents,
@@ -143,6 +161,7 @@ QUERIES = {
 }
 ORACLES = {
     "op1_mix_sources": OP1_SQL,
+    "op2_warc_packages": OP2_SQL,
     "op5_line_dedup": OP5_SQL,
     "op9_near_documents": OP9_SQL,
     "op10_near_vectors": OP10_SQL,
