@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import hyperplanes, lines, minhash, mixing, token_files, warc_zip
+from wattline.llm import hyperplanes, lines, minhash, mixing, quality, token_files, warc_zip
 from wattline.llm.common import table
 from wattline.session import materialize
 
@@ -102,6 +102,16 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_starts(materialize(found, "token-places")).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit_on_labels(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", quality.with_score(docs, model, F.col("text")).alias("score"))
+    return scored.select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op9_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle count and component of every document."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -156,6 +166,7 @@ QUERIES = {
     "op2_warc_packages": op2_warc_packages,
     "op5_line_dedup": op5_line_dedup,
     "op7_token_files": op7_token_files,
+    "op8_quality": op8_quality,
     "op9_near_documents": op9_near_documents,
     "op10_near_vectors": op10_near_vectors,
 }
