@@ -1,8 +1,10 @@
 """Quality scores by a vote of the nearest labelled documents in a latent semantic space.
 
-A word's features are the word itself, its shape and its character trigrams, hashed into FEATURES buckets. A document is
-the sum of its words' features times idf, projected on the leading singular vectors of labelled documents. As the
-projection is linear, each distinct word is projected once and a document's vector is the sum over its words.
+A word's features are the word itself, its shape and its character trigrams, hashed into FEATURES buckets. Three more
+features count what repeats within a document: words equal to the one before, words equal to the one before that, and how
+much a few words make up the whole. A document is the sum of its features times idf, projected on the leading singular
+vectors of labelled documents. As the projection is linear, each distinct word is projected once and a document's vector is
+the sum over its words.
 
 The classifier is fitted on at most `max_labelled` labelled rows, drawn by a hash of doc_id; document frequencies are
 counted over all documents. Their latent vectors, a megabyte, go to every task, which compares each of its documents with
@@ -28,6 +30,10 @@ from wattline.llm.common import byte_texts, slices
 from wattline.session import materialize
 
 FEATURES = 2048
+#: Features of repetition, after those of words, and their weight against a word's own.
+REPEATS = 3
+REPEAT_WEIGHT = 8
+COLUMNS = FEATURES + REPEATS
 RANK = 64
 MAX_LABELLED = 4096
 NEIGHBOURS = 15
@@ -82,31 +88,40 @@ class Model:
     prior: float
 
 
+def repeats(words: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The features of repetition of a document's word numbers; `times` are those of its distinct words."""
+    near = [(words[k:] == words[:-k]).sum() for k in (1, 2)]
+    return REPEAT_WEIGHT * np.array([*near, (times.astype(np.float64) ** 2).sum() / len(words)], np.float32)
+
+
 def _counts(texts: list[bytes], vocabulary: Vocabulary) -> np.ndarray:
     numbers, ends = vocabulary(texts)
-    out = np.zeros((len(texts), FEATURES), np.float32)
+    out = np.zeros((len(texts), COLUMNS), np.float32)
     for i, (lo, hi) in enumerate(zip(ends, ends[1:], strict=False)):
         if hi > lo:
             words, times = np.unique(numbers[lo:hi], return_counts=True)
             parts = [vocabulary.rows[w] for w in words]
             weights = np.repeat(times, [len(p) for p in parts])
-            out[i] = np.bincount(np.concatenate(parts), weights, FEATURES)
+            out[i, :FEATURES] = np.bincount(np.concatenate(parts), weights, FEATURES)
+            out[i, FEATURES:] = repeats(numbers[lo:hi], times)
     return out
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    vocabulary, total, n = Vocabulary(word_features), np.zeros(FEATURES, np.int64), 0
+    vocabulary, total, n = Vocabulary(word_features), np.zeros(COLUMNS, np.int64), 0
     for batch in batches:
         for part in slices(batch, "text", SLICE_BYTES):
             texts = byte_texts(part.column("text"))
             numbers, ends = vocabulary(texts)
             for lo, hi in zip(ends, ends[1:], strict=False):
                 if hi > lo:
-                    seen = np.zeros(FEATURES, bool)
-                    seen[np.concatenate([vocabulary.rows[w] for w in np.unique(numbers[lo:hi])])] = True
+                    words, times = np.unique(numbers[lo:hi], return_counts=True)
+                    seen = np.zeros(COLUMNS, bool)
+                    seen[np.concatenate([vocabulary.rows[w] for w in words])] = True
+                    seen[FEATURES:] = repeats(numbers[lo:hi], times) > 0
                     total += seen
             n += len(texts)
-    places = np.append(np.arange(FEATURES), -1)
+    places = np.append(np.arange(COLUMNS), -1)
     yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(np.append(total, n))], ["feature", "n"])
 
 
@@ -148,9 +163,9 @@ def fit(
     frequencies = narrow.select("text").mapInArrow(_frequencies, "feature long, n long")
     totals = {r["feature"]: r["n"] for r in frequencies.groupBy("feature").agg(F.sum("n").alias("n")).collect()}
     labels = np.array([r["label"] for r in found], np.float32)
-    idf = np.log((1 + totals.get(-1, 0)) / (1 + np.array([totals.get(i, 0) for i in range(FEATURES)]))).astype(np.float32) + 1
+    idf = np.log((1 + totals.get(-1, 0)) / (1 + np.array([totals.get(i, 0) for i in range(COLUMNS)]))).astype(np.float32) + 1
     if not len(labels):
-        return Model(np.zeros((FEATURES, 1), np.float32), np.zeros((0, 1), np.float32), labels, 0.5)
+        return Model(np.zeros((COLUMNS, 1), np.float32), np.zeros((0, 1), np.float32), labels, 0.5)
     counts = np.stack([np.frombuffer(bytes(r["counts"]), np.float32) for r in found])
     weighted = _unit(counts * idf)
     basis = _leading(weighted, rank)
@@ -174,7 +189,7 @@ def scorer(model: Model) -> Callable[[list[bytes]], np.ndarray]:
             mine = numbers[ends[d] : ends[d + 1]]
             words, times = np.unique(mine, return_counts=True)
             known = rows[words] if rows is not None else np.stack([vocabulary.rows[w] for w in words])
-            vectors[i] = times.astype(np.float32) @ known
+            vectors[i] = times.astype(np.float32) @ known + repeats(mine, times) @ projection[FEATURES:]
         vectors = _unit(vectors)
         for start in range(0, len(full), BLOCK):
             near = vectors[start : start + BLOCK] @ model.neighbours.T
