@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import hyperplanes, lines, minhash, mixing, quality, token_files, warc_zip
+from wattline.llm import hyperplanes, lines, minhash, mixing, quality, token_files, vp_tree, warc_zip
 from wattline.llm.common import table
 from wattline.session import materialize
 
@@ -69,6 +69,26 @@ from r
 """
 
 
+def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every twentieth vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return vp_tree.search(vp_tree.build(vectors), vectors.where("vec_id % 20 = 0"), factor=1.0)
+
+
+OP4_SQL = """
+with v as (
+  select vec_id, embedding::double[] as e from embeddings
+  where embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p as (
+  select a.vec_id as query_id, b.vec_id, list_inner_product(a.e, b.e) as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 20 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from p)
+select query_id, rank, vec_id, score from r where rank <= 20
+"""
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines before and after removing shared ones, and the digest of what stays."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -164,6 +184,7 @@ from embeddings left join n on n.a = vec_id left join c on c.node = vec_id
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_warc_packages": op2_warc_packages,
+    "op4_nearest_vectors": op4_nearest_vectors,
     "op5_line_dedup": op5_line_dedup,
     "op7_token_files": op7_token_files,
     "op8_quality": op8_quality,
@@ -173,6 +194,7 @@ QUERIES = {
 ORACLES = {
     "op1_mix_sources": OP1_SQL,
     "op2_warc_packages": OP2_SQL,
+    "op4_nearest_vectors": OP4_SQL,
     "op5_line_dedup": OP5_SQL,
     "op9_near_documents": OP9_SQL,
     "op10_near_vectors": OP10_SQL,
