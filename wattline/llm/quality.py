@@ -1,10 +1,9 @@
 """Quality scores by a vote of the nearest labelled documents in a latent semantic space.
 
-A word's features are the word itself, its shape and its character trigrams, hashed into FEATURES buckets. Three more
-features count what repeats within a document: words equal to the one before, words equal to the one before that, and how
-much a few words make up the whole. A document is the sum of its features times idf, projected on the leading singular
-vectors of labelled documents. As the projection is linear, each distinct word is projected once and a document's vector is
-the sum over its words.
+A word's features are the word itself, its trigrams of bytes, and the places where one kind of character follows another,
+hashed into FEATURES buckets. Three more features count what repeats within a document: words equal to the one before, words
+equal to the one before that, and how much a few words make up the whole. A document is the sum of its features times idf,
+projected on the leading singular vectors of labelled documents.
 
 The classifier is fitted on at most `max_labelled` labelled rows, drawn by a hash of doc_id; document frequencies are
 counted over all documents. Their latent vectors, a megabyte, go to every task, which compares each of its documents with
@@ -16,9 +15,8 @@ every score is 0.5. Rows without a label are not learned from; repeated labels c
 
 from __future__ import annotations
 
-import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.llm.common import byte_texts, slices
+from wattline.llm.perfect_hash import mix64
 from wattline.session import materialize
 
 FEATURES = 2048
@@ -40,42 +39,69 @@ NEIGHBOURS = 15
 POWER = 8
 BLOCK = 256
 SLICE_BYTES = 1 << 20
-CACHE_WORDS = 1 << 17
-
-_RUNS = [(re.compile(rb"[A-Z]+"), b"A"), (re.compile(rb"[a-z\x80-\xff]+"), b"a"), (re.compile(rb"[0-9]+"), b"0")]
-_SAME = re.compile(rb"(.)\1+", re.DOTALL)
-
-
-def word_features(word: bytes) -> np.ndarray:
-    """Buckets of a word's features, repeated ones repeated."""
-    shape = word
-    for pattern, mark in _RUNS:
-        shape = pattern.sub(mark, shape)
-    framed = b" " + word.lower() + b" "
-    names = [b"w" + framed, b"s" + _SAME.sub(rb"\1", shape)]
-    names += [framed[i : i + 3] for i in range(len(framed) - 2)]
-    return np.array([zlib.crc32(n) % FEATURES for n in names], np.int64)
-
-
-class Vocabulary:
-    """Numbers for words, each with a row of values that `make` computes once; emptied at CACHE_WORDS words."""
-
-    def __init__(self, make: Callable[[bytes], np.ndarray]):
-        self.make, self.known, self.rows = make, {}, []
-
-    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Word numbers of all texts one after the other, and where each text begins and ends."""
-        docs = [t.split() for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known, self.rows = {}, []
-        for w in set().union(*docs) - self.known.keys():
-            self.known[w] = len(self.rows)
-            self.rows.append(self.make(w))
-        ends = np.cumsum([0, *map(len, docs)])
-        numbers = np.empty(ends[-1], np.int64)
-        for d, lo, hi in zip(docs, ends, ends[1:], strict=False):
-            numbers[lo:hi] = np.fromiter(map(self.known.__getitem__, d), np.int64, hi - lo)
-        return numbers, ends
+PAIRS = 1 << 17
+
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[128:] = 1
+for _first, _last, _kind in ((b"a", b"z", 1), (b"A", b"Z", 2), (b"0", b"9", 3)):
+    _KINDS[_first[0] : _last[0] + 1] = _kind
+
+
+def _bucket(codes: np.ndarray, salt: int) -> np.ndarray:
+    return (mix64(codes.astype(np.uint64) + np.uint64(salt << 56)) % np.uint64(FEATURES)).astype(np.int64)
+
+
+def word_features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the words' features one after the other, and where those of each word begin."""
+    line = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8)
+    low = np.frombuffer(line.tobytes().lower(), np.uint8).astype(np.uint64)
+    gap = line == 32
+    owner = np.cumsum(gap) - 1
+    # A trigram belongs to the word of its middle byte, a change of kind to the word on either side of it.
+    middle = np.flatnonzero(~gap[1:-1]) + 1
+    trigrams = low[middle - 1] << np.uint64(16) | low[middle] << np.uint64(8) | low[middle + 1]
+    kinds = np.where(_KINDS[line] > 0, _KINDS[line] + 250, line).astype(np.uint64)
+    turn = np.flatnonzero(kinds[1:] != kinds[:-1])
+    whole = np.array([zlib.crc32(w.lower()) for w in words], np.uint64)
+    owners = [np.arange(len(words)), owner[middle], owner[np.where(gap[turn + 1], turn, turn + 1)]]
+    buckets = [_bucket(whole, 1), _bucket(trigrams, 2), _bucket(kinds[turn] << np.uint64(16) | kinds[turn + 1], 3)]
+    of, found = np.concatenate(owners), np.concatenate(buckets)
+    starts = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(words)))])
+    return found[np.argsort(of, kind="stable")], starts
+
+
+def repeats(words: np.ndarray, times: np.ndarray) -> list[float]:
+    """The features of repetition of a document's word numbers; `times` are those of its distinct words."""
+    near = [np.count_nonzero(words[k:] == words[:-k]) for k in (1, 2)]
+    return [REPEAT_WEIGHT * x for x in (*near, float((times.astype(np.float64) ** 2).sum()) / len(words))]
+
+
+def counts(texts: list[bytes]) -> np.ndarray:
+    """The features of every text, a row each."""
+    docs = [t.split() for t in texts]
+    words = list(set().union(*docs))
+    number = dict(zip(words, range(len(words)), strict=True))
+    ends = np.cumsum([0, *map(len, docs)])
+    out = np.zeros((len(texts), COLUMNS))
+    if not words:
+        return out.astype(np.float32)
+    buckets, starts = word_features(words)
+    at = np.concatenate([np.fromiter(map(number.__getitem__, d), np.int64, len(d)) for d in docs])
+    keys, times = np.unique(np.repeat(np.arange(len(docs)) * len(words), np.diff(ends)) + at, return_counts=True)
+    doc, word = np.divmod(keys, len(words))
+    for lo in range(0, len(keys), PAIRS):
+        some = slice(lo, lo + PAIRS)
+        sizes = starts[word[some] + 1] - starts[word[some]]
+        into = np.cumsum(sizes)
+        places = np.repeat(starts[word[some]] - (into - sizes), sizes) + np.arange(into[-1])
+        first, last = doc[some][0], doc[some][-1]
+        cells = np.repeat((doc[some] - first) * COLUMNS, sizes) + buckets[places]
+        added = np.bincount(cells, np.repeat(times[some], sizes), (last - first + 1) * COLUMNS)
+        out[first : last + 1] += added.reshape(-1, COLUMNS)
+    firsts = np.searchsorted(doc, np.arange(len(docs) + 1))
+    for i in np.flatnonzero(np.diff(ends)):
+        out[i, FEATURES:] = repeats(at[ends[i] : ends[i + 1]], times[firsts[i] : firsts[i + 1]])
+    return out.astype(np.float32)
 
 
 @dataclass
@@ -94,43 +120,21 @@ def repeats(words: np.ndarray, times: np.ndarray) -> np.ndarray:
     return REPEAT_WEIGHT * np.array([*near, (times.astype(np.float64) ** 2).sum() / len(words)], np.float32)
 
 
-def _counts(texts: list[bytes], vocabulary: Vocabulary) -> np.ndarray:
-    numbers, ends = vocabulary(texts)
-    out = np.zeros((len(texts), COLUMNS), np.float32)
-    for i, (lo, hi) in enumerate(zip(ends, ends[1:], strict=False)):
-        if hi > lo:
-            words, times = np.unique(numbers[lo:hi], return_counts=True)
-            parts = [vocabulary.rows[w] for w in words]
-            weights = np.repeat(times, [len(p) for p in parts])
-            out[i, :FEATURES] = np.bincount(np.concatenate(parts), weights, FEATURES)
-            out[i, FEATURES:] = repeats(numbers[lo:hi], times)
-    return out
-
-
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    vocabulary, total, n = Vocabulary(word_features), np.zeros(COLUMNS, np.int64), 0
+    total, n = np.zeros(COLUMNS, np.int64), 0
     for batch in batches:
         for part in slices(batch, "text", SLICE_BYTES):
-            texts = byte_texts(part.column("text"))
-            numbers, ends = vocabulary(texts)
-            for lo, hi in zip(ends, ends[1:], strict=False):
-                if hi > lo:
-                    words, times = np.unique(numbers[lo:hi], return_counts=True)
-                    seen = np.zeros(COLUMNS, bool)
-                    seen[np.concatenate([vocabulary.rows[w] for w in words])] = True
-                    seen[FEATURES:] = repeats(numbers[lo:hi], times) > 0
-                    total += seen
-            n += len(texts)
+            total += (counts(byte_texts(part.column("text"))) > 0).sum(axis=0)
+            n += part.num_rows
     places = np.append(np.arange(COLUMNS), -1)
     yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(np.append(total, n))], ["feature", "n"])
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    vocabulary = Vocabulary(word_features)
     for batch in batches:
         for part in slices(batch, "text", SLICE_BYTES):
-            counts = [r.tobytes() for r in _counts(byte_texts(part.column("text")), vocabulary)]
-            arrays = [part.column("doc_id"), part.column("label"), pa.array(counts, pa.binary())]
+            rows = [r.tobytes() for r in counts(byte_texts(part.column("text")))]
+            arrays = [part.column("doc_id"), part.column("label"), pa.array(rows, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "label", "counts"])
 
 
@@ -166,53 +170,33 @@ def fit(
     idf = np.log((1 + totals.get(-1, 0)) / (1 + np.array([totals.get(i, 0) for i in range(COLUMNS)]))).astype(np.float32) + 1
     if not len(labels):
         return Model(np.zeros((COLUMNS, 1), np.float32), np.zeros((0, 1), np.float32), labels, 0.5)
-    counts = np.stack([np.frombuffer(bytes(r["counts"]), np.float32) for r in found])
-    weighted = _unit(counts * idf)
+    weighted = _unit(np.stack([np.frombuffer(bytes(r["counts"]), np.float32) for r in found]) * idf)
     basis = _leading(weighted, rank)
     return Model(idf[:, None] * basis, _unit(weighted @ basis), labels, float(labels.mean()))
 
 
-def scorer(model: Model) -> Callable[[list[bytes]], np.ndarray]:
-    """A function from texts to scores, with a memory of projected words."""
-    projection, k = model.projection, min(NEIGHBOURS, len(model.labels))
-    vocabulary = Vocabulary(lambda word: projection[word_features(word)].sum(axis=0))
-
-    def score(texts: list[bytes]) -> np.ndarray:
-        out = np.full(len(texts), model.prior)
-        numbers, ends = vocabulary(texts)
-        full = np.flatnonzero(np.diff(ends))
-        if not k or not len(full):
-            return out
-        rows = np.array(vocabulary.rows, np.float32) if len(numbers) > len(vocabulary.rows) else None
-        vectors = np.zeros((len(full), projection.shape[1]), np.float32)
-        for i, d in enumerate(full):
-            mine = numbers[ends[d] : ends[d + 1]]
-            words, times = np.unique(mine, return_counts=True)
-            known = rows[words] if rows is not None else np.stack([vocabulary.rows[w] for w in words])
-            vectors[i] = times.astype(np.float32) @ known + repeats(mine, times) @ projection[FEATURES:]
-        vectors = _unit(vectors)
-        for start in range(0, len(full), BLOCK):
-            near = vectors[start : start + BLOCK] @ model.neighbours.T
-            best = np.argpartition(near, len(model.labels) - k, axis=1)[:, len(model.labels) - k :]
-            weight = np.maximum(np.take_along_axis(near, best, axis=1), 0).astype(np.float64) ** POWER
-            total = weight.sum(axis=1)
-            vote = (weight * model.labels[best]).sum(axis=1) + 1e-9 * model.prior
-            out[full[start : start + BLOCK]] = vote / (total + 1e-9)
+def scores(texts: list[bytes], model: Model) -> np.ndarray:
+    """The similarity-weighted vote of each text's nearest labelled vectors."""
+    out, k = np.full(len(texts), model.prior), min(NEIGHBOURS, len(model.labels))
+    if not k:
         return out
-
-    return score
+    vectors = _unit(counts(texts) @ model.projection)
+    for start in range(0, len(texts), BLOCK):
+        near = vectors[start : start + BLOCK] @ model.neighbours.T
+        best = np.argpartition(near, len(model.labels) - k, axis=1)[:, len(model.labels) - k :]
+        weight = np.maximum(np.take_along_axis(near, best, axis=1), 0).astype(np.float64) ** POWER
+        vote = (weight * model.labels[best]).sum(axis=1) + 1e-9 * model.prior
+        out[start : start + BLOCK] = vote / (weight.sum(axis=1) + 1e-9)
+    return out
 
 
 def with_score(docs: DataFrame, model: Model, text: Column) -> Column:
     """The score of `text` as a column for `docs`."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    ready: list[Callable] = []
 
     def score(texts: pa.Array) -> pa.Array:
-        if not ready:
-            ready.append(scorer(shared.value))
         batch = pa.RecordBatch.from_arrays([texts], ["text"])
-        parts = [ready[0](byte_texts(part.column("text"))) for part in slices(batch, "text", SLICE_BYTES)]
+        parts = [scores(byte_texts(part.column("text")), shared.value) for part in slices(batch, "text", SLICE_BYTES)]
         return pa.array(np.concatenate([np.zeros(0), *parts]))
 
     return F.arrow_udf(score, "double")(text)
