@@ -56,7 +56,7 @@ class Shingler:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         known = self.known
-        for w in set().union(*docs) - known.keys():
+        for w in set().union(*docs).difference(known):
             known[w] = xxhash.xxh64_intdigest(w)
         return [self._set(np.fromiter(map(known.__getitem__, d), np.uint64, len(d))) for d in docs]
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import hyperplanes, lines, minhash, mixing, quality, token_files, vp_tree, warc_zip
+from wattline.llm import hyperplanes, lines, minhash, mixing, pieces, quality, token_files, vp_tree, warc_zip
 from wattline.llm.common import table
 from wattline.session import materialize
 
@@ -114,6 +114,21 @@ select doc_id, count(*)::bigint as n_lines, count(*) filter (gone)::bigint as n_
 from f group by doc_id
 """
 
+def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and whether they decode to it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    coded = docs.withColumn("ids", pieces.encode(F.col("text"), model))
+    decoded = coded.withColumn("decoded", pieces.decode(F.col("ids"), model))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.xxhash64("ids").alias("ids_hash"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.col("text")).alias("same_text"),
+    )
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each document lies among all ids, read back from the written files."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -186,6 +201,7 @@ QUERIES = {
     "op2_warc_packages": op2_warc_packages,
     "op4_nearest_vectors": op4_nearest_vectors,
     "op5_line_dedup": op5_line_dedup,
+    "op6_sentence_pieces": op6_sentence_pieces,
     "op7_token_files": op7_token_files,
     "op8_quality": op8_quality,
     "op9_near_documents": op9_near_documents,
