@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import hyperplanes, lines, minhash, mixing, pieces, quality, token_files, vp_tree, warc_zip
+from wattline.llm import hyperplanes, lines, minhash, mixing, pieces, quality, secrets, token_files, vp_tree, warc_zip
 from wattline.llm.common import table
 from wattline.session import materialize
 
@@ -69,6 +69,65 @@ from r
 """
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    found = table(spark, sf_dir, "documents").select("doc_id", secrets.spans(F.col("text")).alias("found"))
+    return found.select(
+        "doc_id",
+        *[secrets.count(F.col("found"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(secrets.listed(secrets.base_only(F.col("found"))).cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(F.col("found")).alias("spans"),
+    )
+
+
+OP3_SQL = r"""
+with recursive d as (select doc_id, coalesce(text, '') as text from documents),
+k as (select * from (values
+  (0, 'assign', '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+  (1, 'access', 'AKIA[A-Z0-9]+', 0, 20), (2, 'hex', '[0-9a-f]+', 0, 24), (3, 'candidate', '[A-Za-z0-9+/_=-]{20,}', 0, 20)
+  ) as k(kind, name, pattern, grp, least)),
+p as (
+  select doc_id, kind, name, pattern, grp, least, string_split_regex(text, pattern) as gaps, regexp_extract_all(text, pattern) as found
+  from d, k where regexp_matches(text, pattern)),
+m as (
+  select doc_id, kind, name, pattern, grp, least, found[i] as text,
+    list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) as start
+  from (select *, unnest(range(1, len(found) + 1)) as i from p)),
+b as (
+  select doc_id, start::bigint as start, kind, name, (start + length(text))::bigint as stop from m
+  where kind < 3 and length(case kind when 0 then regexp_extract(text, pattern, 2) else text end) >= least),
+t as (select list_transform(range(0, 21), lambda c: case when c = 0 then 0 else round(c * log2(c) * 1000000)::bigint end) as terms),
+c as (
+  select doc_id, start, text, regexp_matches(text, '^[0-9a-fA-F]+$') as hex from m
+  where kind = 3
+    and not regexp_matches(text, '^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$')
+    and not regexp_matches(text, '^[A-Za-z+/_=-]+$') and not regexp_matches(text, '^[0-9+/_=-]+$')
+    and not regexp_matches(text, '(?i)example|sample|dummy|placeholder|test|xxxx|1234567890|abcdefgh')
+    and not regexp_matches(text, '^([A-Za-z]+[/_-])+[A-Za-z0-9]*$')
+    and not regexp_matches(text, '^([A-Za-z0-9]{1,15}[/_-])+[A-Za-z0-9]{0,15}$')),
+w as (select doc_id, start, hex, i, string_split(substr(text, i + 1, 20), '') as chars
+  from (select *, unnest(range(0, length(text) - 19)) as i from c)),
+h as (
+  select doc_id, start, i from w, t
+  where list_sum(list_transform(list_distinct(chars), lambda x: terms[len(list_filter(chars, lambda y: y = x)) + 1]))
+    <= floor((log2(20) - case when hex then 2.9 else 3.8 end) * 20 * 1000000)),
+g as (select *, i - lag(i) over (partition by doc_id, start order by i) > 20 as fresh from h),
+n as (select *, sum(case when fresh then 1 else 0 end) over (partition by doc_id, start order by i) as island from g),
+e as (
+  select doc_id, (start + min(i))::bigint as start, 3 as kind, 'entropy' as name, (start + max(i) + 20)::bigint as stop
+  from n group by doc_id, n.start, island),
+a as (select * from b union all select * from e),
+s as (
+  select doc_id, count(*) filter (kind = 0) as n_assign, count(*) filter (kind = 1) as n_access, count(*) filter (kind = 2) as n_hex,
+    string_agg(name || ':' || start || ':' || stop, ',' order by start, kind) filter (kind < 3) as base,
+    string_agg(name || ':' || start || ':' || stop, ',' order by start, kind, stop) as spans
+  from a group by doc_id)
+select doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0)::bigint as n_access,
+  coalesce(n_hex, 0)::bigint as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from d left join s using (doc_id)
+"""
+
+
 def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows of every twentieth vector."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -199,6 +258,7 @@ from embeddings left join n on n.a = vec_id left join c on c.node = vec_id
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_warc_packages": op2_warc_packages,
+    "op3_secrets": op3_secrets,
     "op4_nearest_vectors": op4_nearest_vectors,
     "op5_line_dedup": op5_line_dedup,
     "op6_sentence_pieces": op6_sentence_pieces,
@@ -210,6 +270,7 @@ QUERIES = {
 ORACLES = {
     "op1_mix_sources": OP1_SQL,
     "op2_warc_packages": OP2_SQL,
+    "op3_secrets": OP3_SQL,
     "op4_nearest_vectors": OP4_SQL,
     "op5_line_dedup": OP5_SQL,
     "op9_near_documents": OP9_SQL,
