@@ -1,0 +1,86 @@
+import math
+import random
+import re
+from collections import Counter
+
+from llm_frames import awkward, nothing
+from pyspark.sql import functions as F
+
+from wattline.llm import secrets
+
+
+def plain(text):
+    """Spans by Python's patterns and by counting every window anew."""
+    text, out = text or "", []
+    for number, (_, pattern, group, least) in enumerate(secrets.BASE):
+        out += [(m.start(), number, m.end()) for m in re.finditer(pattern, text) if len(m.group(group)) >= least]
+    for m in re.finditer(secrets.CANDIDATE, text):
+        word = m.group()
+        if any(re.search(p, word) for p in secrets.ALLOWED):
+            continue
+        kind = next(c for c in secrets.CLASSES if re.search(c.pattern, word))
+        spans = []
+        for i in range(len(word) - secrets.WINDOW + 1):
+            counts = Counter(word[i : i + secrets.WINDOW]).values()
+            if -sum(c / 20 * math.log2(c / 20) for c in counts) < kind.bits:
+                continue
+            if spans and spans[-1][1] >= i:
+                spans[-1][1] = i + secrets.WINDOW
+            else:
+                spans.append([i, i + secrets.WINDOW])
+        out += [(m.start() + a, len(secrets.BASE), m.start() + b) for a, b in spans]
+    return sorted(out)
+
+
+def found(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", secrets.spans(F.col("t")).alias("s"))
+    return [[tuple(s) for s in r.s] for r in frame.orderBy("i").collect()]
+
+
+def draw_texts():
+    draw = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-="
+    texts = []
+    for _ in range(120):
+        parts = []
+        for _ in range(draw.randint(0, 8)):
+            value = "".join(draw.choice(draw.choice(["0123456789abcdef", letters, "ABC123", "aa1"])) for _ in range(draw.randint(1, 60)))
+            name = draw.choice(["", "Password", "passwd: ", 'TOKEN="', "api_key = '", "apikey:", "AKIA", "é ☃ ", "secret=token=", "\U0001f600 "])
+            parts.append(name + value)
+        texts.append(draw.choice([" ", "\n", "", ", "]).join(parts))
+    return texts
+
+
+def test_equals_plain_search(spark):
+    texts = draw_texts()
+    assert found(spark, texts) == [plain(t) for t in texts]
+    assert any(s[1] == len(secrets.BASE) for t in texts for s in plain(t))
+
+
+def test_failing_matches_use_up_their_text(spark):
+    texts = ['secret: token: "abcdef"', "token=abc", "token=abcdef", "AKIAAKIA", "AKIA" + "B" * 16, "tokEn = '123456'", "toKen=1Ken=123456"]
+    assert found(spark, texts) == [plain(t) for t in texts]
+    assert found(spark, texts)[0] == []
+
+
+def test_allow_list_and_prose_stay_clean(spark):
+    texts = [
+        "123e4567-e89b-12d3-a456-426614174000", "Donaudampfschifffahrtsgesellschaft", "12345678901234567890123456",
+        "wp-content/uploads/2019/07/some-picture-name-1.jpg", "an_example_value_4f9Qx8ZkLm2Vb7Np", "aaaaaaaaaaaaaaaa1aaaaaaaaaaaaa",
+    ]
+    assert [[s for s in f if s[1] == len(secrets.BASE)] for f in found(spark, texts)] == [[]] * len(texts)
+
+
+def test_awkward_rows(spark):
+    docs = awkward(spark)
+    rows = docs.select("text", secrets.spans(F.col("text")).alias("s")).collect()
+    assert [[tuple(s) for s in r.s] for r in rows] == [plain(r.text) for r in rows]
+    assert nothing(spark).select(secrets.spans(F.col("text"))).count() == 0
+
+
+def test_no_python_in_the_plan(spark, small):
+    from wattline.llm.queries import QUERIES
+
+    for name in ("op1_mix_sources", "op3_secrets"):
+        plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow", plan)

@@ -121,7 +121,7 @@ class Pieces:
                 if len(p) > CACHED_CHARS:
                     del known[p]
             if len(known) > CACHE_STRETCHES:
-                for p in list(islice(known, CACHE_STRETCHES // 2)):
+                for p in list(islice(known, len(known) - CACHE_STRETCHES // 2)):
                     del known[p]
             return out
 
