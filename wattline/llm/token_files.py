@@ -1,20 +1,21 @@
 """Token-id files: the ids of many documents in one array, with Elias-Fano document boundaries.
 
-Documents are encoded where they are read; only ids travel to the files, which a range partitioning puts in ascending
-order of doc_id. A file holds, little-endian: the magic word; its place in the order of files, the number of documents
+A range partitioning puts documents in ascending order of doc_id; each part is then encoded and written as it comes. A file holds, little-endian: the magic word; its place in the order of files, the number of documents
 without an id, the smallest doc_id and the bytes per id; the boundaries; the doc_ids, less the smallest; the ids. It ends
 in a line feed. An id takes two bytes where the vocabulary allows, else four. A boundary costs a few bits where a table of
 offsets would take 64.
 
 A missing text is empty and a document without text holds the end id alone. Documents without a doc_id come first.
-Repeated rows are repeated in the files, those with equal doc_id in the order of their ids' bytes.
+Repeated rows are repeated in the files, those with equal doc_id in the order of their texts.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,21 +26,28 @@ from pyspark.sql.window import Window
 
 from wattline.llm.common import byte_texts, slices, write_blobs
 from wattline.llm.elias_fano import EliasFano
-from wattline.session import materialize, new_path
+from wattline.session import new_path
 
 MAGIC = b"EFTOKENS"
 HEAD = struct.Struct("<8sqqqq")
 FILE_BYTES = 8 << 20
+PART_BYTES = 16 << 20
 SLICE_BYTES = 1 << 20
-CACHE_WORDS = 1 << 18
+CACHE_WORDS = 1 << 20
 CACHED_CHARS = 64
 
 
+#: What each worker process remembers, by tokenizer file; kept from task to task.
+_KNOWN: dict[str, dict[bytes, bytes]] = {}
+#: A single full stop or comma behind a letter and before a space is a token of its own.
+_STOP = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
+
+
 class WordEncoder:
-    """Encodes texts through a tokenizer whose pre-tokenizer drops white space, one stretch between spaces at a time.
+    """Encodes texts through a lower-casing tokenizer that drops white space, one stretch between spaces at a time.
 
-    No token of such a tokenizer crosses a space, so a stretch gives the same ids anywhere. Frequent ones are
-    remembered as the bytes of their ids; the memory is emptied when it has grown to CACHE_WORDS.
+    No token of such a tokenizer crosses a space, so a stretch gives the same ids anywhere. The ids of stretches are
+    remembered, lower-cased and without the stop behind them; beyond CACHE_WORDS only the younger half of it is kept.
     """
 
     def __init__(self, path: str):
@@ -48,40 +56,23 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
+        self.known = _KNOWN.setdefault(path, {})
 
     def __call__(self, texts: list[bytes], end: bytes) -> list[bytes]:
-        # Of bytes, split() takes the ASCII spaces only.
-        docs = [text.split() for text in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = list(set().union(*docs) - self.known.keys())
+        # Special tokens are written between <| and |> and must be met as they are. Of bytes, split() takes ASCII spaces.
+        docs = [(t if b"<|" in t else _STOP.sub(rb" \1", t.lower())).split() for t in texts]
+        known = self.known
+        new = list(set().union(*docs).difference(known))
         found = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        ids = {w: np.array(e.ids, self.kind).tobytes() for w, e in zip(new, found, strict=True)}
-        long = {w: ids.pop(w) for w in new if len(w) > CACHED_CHARS}
-        self.known.update(ids)
-        if not long:
-            return [b"".join(map(self.known.__getitem__, words)) + end for words in docs]
-        return [b"".join([long.get(w) or self.known.get(w, b"") for w in words]) + end for words in docs]
-
-
-def _encode(path: str, end_id: int) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
-        end = np.array([end_id], encoder.kind).tobytes()
-        for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
-                ids = pa.array(encoder(byte_texts(part.column("text")), end), pa.binary())
-                width = pa.array([encoder.kind.itemsize] * part.num_rows, pa.int32())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), width, ids], ["doc_id", "width", "ids"])
-
-    return run
-
-
-def encode(docs: DataFrame, tokenizer_path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, width, ids): the ids of each whole text and `end_id`, as little-endian integers of `width` bytes."""
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return narrow.mapInArrow(_encode(tokenizer_path, end_id), "doc_id long, width int, ids binary")
+        known.update(zip(new, [np.array(e.ids, self.kind).tobytes() for e in found], strict=True))
+        out = [b"".join(map(known.__getitem__, words)) + end for words in docs]
+        for w in new:
+            if len(w) > CACHED_CHARS:
+                del known[w]
+        if len(known) > CACHE_WORDS:
+            for w in list(islice(known, len(known) - CACHE_WORDS // 2)):
+                del known[w]
+        return out
 
 
 def pack(order: int, doc_ids: list[int | None], ids: list[bytes], width: int) -> bytes:
@@ -112,32 +103,41 @@ def unpack(data: bytes) -> tuple[int, list[int | None], np.ndarray, np.ndarray]:
     return order, [None] * unnamed + (above.decode() + least).tolist(), bounds, ids
 
 
-def _files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    partition, piece = TaskContext.get().partitionId(), 0
-    doc_ids, ids, size, width = [], [], 0, 2
+def _files(path: str, end_id: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, partition, piece = WordEncoder(path), TaskContext.get().partitionId(), 0
+        end, width = np.array([end_id], encoder.kind).tobytes(), encoder.kind.itemsize
+        doc_ids, ids, size = [], [], 0
 
-    def done() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([pack(partition << 32 | piece, doc_ids, ids, width)], pa.binary())], ["file"])
+        def done() -> pa.RecordBatch:
+            file = pack(partition << 32 | piece, doc_ids, ids, width)
+            return pa.RecordBatch.from_arrays([pa.array([file], pa.binary())], ["file"])
 
-    for batch in batches:
-        for d, w, x in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "width", "ids")), strict=True):
-            if ids and size + len(x) > FILE_BYTES:
-                yield done()
-                piece, doc_ids, ids, size = piece + 1, [], [], 0
-            width = w
-            doc_ids.append(d)
-            ids.append(x)
-            size += len(x)
-    if ids:
-        yield done()
-
-
-def write(encoded: DataFrame, path: str) -> None:
-    """Files of the stored rows of `encode`, each about FILE_BYTES or one document."""
-    size = encoded.agg(F.sum(F.length("ids"))).first()[0] or 0
-    parts = encoded.repartitionByRange(max(1, -(-size // FILE_BYTES)), F.col("doc_id").asc_nulls_first())
-    ordered = parts.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "ids")
-    write_blobs(ordered.mapInArrow(_files, "file binary"), path)
+        for batch in batches:
+            for part in slices(batch, "text", SLICE_BYTES):
+                encoded = encoder(byte_texts(part.column("text")), end)
+                for d, x in zip(part.column("doc_id").to_pylist(), encoded, strict=True):
+                    if ids and size + len(x) > FILE_BYTES:
+                        yield done()
+                        piece, doc_ids, ids, size = piece + 1, [], [], 0
+                    doc_ids.append(d)
+                    ids.append(x)
+                    size += len(x)
+        if ids:
+            yield done()
+
+    return run
+
+
+def write(
+    docs: DataFrame, path: str, tokenizer_path: str, end_id: int, doc_id: str = "doc_id", text: str = "text"
+) -> None:
+    """Encodes `docs` and writes files of about FILE_BYTES, or one document, below `path`."""
+    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    size = narrow.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    order = F.col("doc_id").asc_nulls_first()
+    parts = narrow.repartitionByRange(max(1, -(-size // PART_BYTES)), order).sortWithinPartitions(order, "text")
+    write_blobs(parts.mapInArrow(_files(tokenizer_path, end_id), "file binary"), path)
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,5 +171,5 @@ def with_starts(found: DataFrame) -> DataFrame:
 def save(docs: DataFrame, tokenizer_path: str, end_id: int, path: str | None = None) -> str:
     """Encodes `docs` and writes them; returns the folder."""
     path = path or new_path(docs.sparkSession, "token-files")
-    write(materialize(encode(docs, tokenizer_path, end_id), "token-ids"), path)
+    write(docs, path, tokenizer_path, end_id)
     return path
