@@ -15,6 +15,8 @@ from wattline.schemas import RAW_TRANSACTION
     "text, number",
     [
         ("12.0", 12),
+        ("0.99999", 0),
+        ("12.99996", 12),
         (" 12 ", 12),
         ("9007199254740993.0", 9007199254740993),
         ("1e30", None),

@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from wattline.functions.measures import stable_sum
 from wattline.operators import features, gold
 from wattline.schemas import MODEL_FEATURES
 from wattline.session import materialize
@@ -160,3 +161,25 @@ def test_top_meters_and_all_meters(spark):
 def test_model_features_are_all_there(spark):
     got = risk(spark, [(1, "a", "A", D(2024, 6, 1), 10.0, 2.0)])
     assert set(MODEL_FEATURES) <= set(got.columns)
+
+
+def test_sums_do_not_depend_on_the_order(spark):
+    """Totals far above the digits of a double, added up in different orders."""
+    amount = F.lit(8_000_000.0) + F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 1000.0 + F.lit(0.0001)
+    df = spark.range(3_000_000).select(amount.alias("x"))
+    found = {df.repartition(n).agg(stable_sum(F.col("x"))).first()[0] for n in (1, 3, 7, 11)}
+    assert len(found) == 1
+    exact = df.agg(F.sum(F.col("x").cast("decimal(20,4)"))).first()[0]
+    assert found == {float(exact)}
+
+
+def test_sums_of_awkward_values(spark):
+    def total(*values):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        return df.agg(stable_sum(F.col("x"))).first()[0]
+
+    assert total() is None and total(None) is None
+    assert total(None, 0.1, 0.2) == 0.3
+    assert total(-1.5, 1.25) == -0.25 and total(0.00000001, 0.00000002) == 3e-8
+    assert total(float("inf"), 1.0) == float("inf") and total(1e300, 2.0) == 1e300 + 2
+    assert total(float("nan"), 1.0) != total(float("nan"), 1.0)

@@ -64,21 +64,45 @@ def test_weekly_cycle_is_found(spark):
 def test_many_series_side_by_side(spark):
     df = series(spark, a=ar1(200, 0.5), b=ar1(300, 0.2, 7), c=[4.0], d=[1.0, 2.0, 3.0])
     for got in (forecast.forecast_arima(df), forecast.forecast_seasonal(df)):
-        counts = dict(rows(got.groupBy("series_key").count()))
-        assert counts == dict.fromkeys("abcd", 30)
-        assert got.filter("isnan({0}) or {0} is null".format(got.columns[2])).isEmpty()
-    short = forecast.forecast_arima(df).filter("series_key = 'c'")
-    assert {r.forecast for r in short.collect()} == {4.0}
-    assert short.agg(F.min("ds")).first()[0] == START + datetime.timedelta(days=1)
-
-
-def test_selection_ranks_by_rmse_and_skips_short_series(spark):
-    got = forecast.select_arima(series(spark, a=ar1(400, 0.6), b=ar1(20, 0.5)))
-    ranked = got.orderBy("place").collect()
-    assert [r.place for r in ranked] == [1, 2, 3, 4, 5]
-    assert {r.series_key for r in ranked} == {"a"}
-    assert [r.rmse for r in ranked] == sorted(r.rmse for r in ranked)
-    assert {(r.p, r.d, r.q) for r in ranked} == set(forecast.CANDIDATE_ORDERS)
+        assert dict(rows(got.groupBy("series_key").count())) == dict.fromkeys("abcd", 30)
+    assert forecast.forecast_seasonal(df).filter("isnan(yhat) or yhat is null").isEmpty()
+
+
+def test_the_asked_order_or_no_forecast(spark):
+    df = series(spark, a=ar1(200, 0.5), b=ar1(20, 0.2), c=[4.0]).unionByName(
+        spark.createDataFrame([("d", None, 1.0)], "series_key string, ds date, y double")
+    )
+    got = forecast.forecast_arima(df, (7, 1, 7))
+    assert {tuple(r) for r in got.select("p", "d", "q").distinct().collect()} == {(7, 1, 7)}
+    by_key = {r.series_key: r for r in got.groupBy("series_key").agg(
+        F.count("*").alias("n"), F.count("forecast").alias("known"), F.min("ds").alias("ds"), F.max("status").alias("status")
+    ).collect()}
+    assert [(by_key[k].n, by_key[k].known) for k in "abcd"] == [(30, 30), (30, 0), (30, 0), (1, 0)]
+    assert by_key["a"].status == forecast.FITTED and "too few" in by_key["b"].status and by_key["d"].status == "no values"
+    assert by_key["c"].ds == START + datetime.timedelta(days=1)
+
+
+def test_trend_changes_do_not_depend_on_the_length(spark, monkeypatch):
+    seen = []
+    design = forecast.seasonal_design
+    for n in (1, 20, 300):
+        seen.append(design(np.arange(float(n)), 0.0, max(n - 1.0, 1.0), np.linspace(0, 0.8, forecast.HINGES + 2)[1:-1]).shape[1])
+    assert len(set(seen)) == 1
+    few = forecast.forecast_seasonal(series(spark, a=ar1(60, 0.5)), hinges=2)
+    many = forecast.forecast_seasonal(series(spark, a=ar1(60, 0.5)))
+    assert few.count() == many.count() == 30 and not few.exceptAll(many).isEmpty()
+
+
+def test_selection_has_every_order_of_every_series(spark):
+    ranked = forecast.select_arima(series(spark, a=ar1(400, 0.6), b=ar1(50, 0.5), c=[1.0])).collect()
+    for key in "abc":
+        mine = sorted((r for r in ranked if r.series_key == key), key=lambda r: r.place)
+        assert [r.place for r in mine] == [1, 2, 3, 4, 5]
+        assert {(r.p, r.d, r.q) for r in mine} == set(forecast.CANDIDATE_ORDERS)
+        known = [r.rmse for r in mine if r.rmse is not None]
+        assert known == sorted(known) and [r.rmse for r in mine][: len(known)] == known
+        assert all((r.rmse is None) == (r.status != forecast.FITTED) for r in mine)
+    assert all(r.rmse is None for r in ranked if r.series_key == "c")
 
 
 def test_forecast_does_not_depend_on_partitions(spark):

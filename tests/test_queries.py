@@ -1,14 +1,12 @@
 """Every registered query against its SQL twin, value by value."""
 
-import functools
-
 import pytest
 from compare import duck, mismatch
 
 import __spark_entry__ as driver
-from wattline.plans import queries
+from wattline.plans.oracles import ORACLES
+from wattline.plans.queries import QUERIES
 
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
 ROWS_ONLY = {
     "forest_scores",
     "anomaly_scores",
@@ -24,19 +22,10 @@ def con(small):
     return duck(small)
 
 
-@pytest.fixture(scope="module", autouse=True)
-def one_feature_table():
-    """Queries over the stored features share them here; each builds its own otherwise."""
-    patch = pytest.MonkeyPatch()
-    for name in ("stored_features", "stored_rule_scores"):
-        patch.setattr(queries, name, functools.cache(getattr(queries, name)))
-    yield
-    patch.undo()
-
-
 def test_only_models_go_without_sql():
     assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES) <= set(driver.queries())
+    assert set(ORACLES) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -15,12 +15,12 @@ def lenient_double(c: Column) -> Column:
 
 
 def lenient_integer(c: Column, to: str = "bigint") -> Column:
-    """Whole number from text; `12.0` reads as 12 and stays exact past 2^53.
+    """Whole number from text; `12.0` reads as 12 and stays exact past 2^53, digits after the point are cut off.
 
     Always through a decimal: a failing text-to-integer cast builds an error
     per row and takes some thirty times longer.
     """
-    return c.try_cast("decimal(38,4)").try_cast(to)
+    return c.try_cast("decimal(38,18)").try_cast(to)
 
 
 def lenient_timestamp(c: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.functions.casting import finite_or_zero, guarded_ratio
-from wattline.functions.measures import DECIMALS, count_where, stable_avg, stable_std, stable_sum
+from wattline.functions.measures import count_where, stable_avg, stable_std, stable_sum
 from wattline.functions.quantiles import attach_scalars
 from wattline.operators.gold import as_of_column
 from wattline.schemas import CUSTOMER_KEYS, MODEL_FEATURES
@@ -112,7 +112,7 @@ def _window_averages(parts: DataFrame) -> DataFrame:
     """Per meter: average units, average amount and row count of both windows."""
 
     def total(name: str) -> Column:
-        return F.round(F.sum(name), DECIMALS)
+        return stable_sum(F.col(name))
 
     columns = []
     for name in ("recent", "historical"):

@@ -21,7 +21,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 HORIZON = 30
 REVENUE_ORDER = (7, 1, 7)
-# Orders compared by the model selection.
+# The orders that the model selection compares.
 CANDIDATE_ORDERS = ((1, 1, 1), (2, 1, 2), (3, 1, 3), (5, 1, 2), (7, 1, 7))
 
 YEARLY_TERMS, WEEKLY_TERMS, HINGES = 10, 3, 25
@@ -35,13 +35,15 @@ def as_series(daily: DataFrame, value: str, date: str = "date", key: Column | No
 
 
 def fill_gaps(series: DataFrame, value: float = 0.0) -> DataFrame:
-    """Add the missing days between the first and the last of each series."""
-    days = (
-        series.groupBy("series_key")
-        .agg(F.min("ds").alias("first"), F.max("ds").alias("last"))
-        .select("series_key", F.explode(F.sequence("first", "last")).alias("ds"))
-    )
-    return days.join(series, ["series_key", "ds"], "left").na.fill(value, subset=["y"])
+    """Add the missing days between the first and the last of each series; a missing value is filled too.
+
+    Every point is followed by the days up to the next one, so the series is read once and joined with nothing.
+    """
+    following = F.lead("ds").over(Window.partitionBy("series_key").orderBy("ds"))
+    upto = F.greatest(F.date_sub(following, 1), F.col("ds"))
+    filled = F.when(F.col("day") == F.col("ds"), F.coalesce("y", F.lit(value))).otherwise(F.lit(value))
+    days = series.where(F.col("ds").isNotNull()).withColumn("upto", upto).withColumn("day", F.explode(F.sequence("ds", "upto")))
+    return days.select("series_key", F.col("day").alias("ds"), filled.alias("y"))
 
 
 def future_dates(series: DataFrame, horizon: int = HORIZON) -> DataFrame:
@@ -160,39 +162,40 @@ def predict_arima(y: np.ndarray, fit: dict, horizon: int) -> np.ndarray:
     return out
 
 
-def _reduced(order: tuple[int, int, int]) -> tuple[int, int, int]:
-    return max(0, order[0] - 1), order[1], max(0, order[2] - 1)
+_ARIMA = "series_key STRING, ds DATE, forecast DOUBLE, p INT, d INT, q INT, status STRING"
+FITTED = "fitted"
 
 
 def forecast_arima(
     series: DataFrame, order: tuple[int, int, int] = REVENUE_ORDER, horizon: int = HORIZON
 ) -> DataFrame:
-    """`series_key, ds, forecast` for the days after each series.
+    """`series_key, ds, forecast, p, d, q, status` for the days after each series.
 
-    A series too short for the order gets a smaller one, down to repeating its
-    last value.
+    The order is never changed: a series it cannot be fitted to gets NULL forecasts and the reason as its status.
+    A series without any dated value has no days to forecast and one row with NULLs.
     """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
+        key = group["series_key"].iloc[0]
         group = group.dropna(subset=["ds", "y"]).sort_values("ds")
-        if group.empty:
-            return pd.DataFrame({"series_key": [], "ds": [], "forecast": []})
-        y = group["y"].to_numpy(dtype=float)
-        use, values = tuple(order), None
-        while values is None:
+        out = pd.DataFrame({"series_key": [key], "ds": [None], "forecast": [np.nan]})
+        status = "no values"
+        if not group.empty:
+            y = group["y"].to_numpy(dtype=float)
+            days = pd.date_range(pd.Timestamp(group["ds"].iloc[-1]) + pd.Timedelta(days=1), periods=horizon)
             try:
-                values = predict_arima(y, fit_arima(y, use), horizon)
-            except (ValueError, np.linalg.LinAlgError):
-                if use[0] == use[2] == 0:
-                    values = np.repeat(y[-1], horizon)
-                use = _reduced(use)
-        days = pd.date_range(pd.Timestamp(group["ds"].iloc[-1]) + pd.Timedelta(days=1), periods=horizon)
-        return pd.DataFrame({"series_key": group["series_key"].iloc[0], "ds": days.date, "forecast": values})
+                values, status = predict_arima(y, fit_arima(y, tuple(order)), horizon), FITTED
+            except (ValueError, np.linalg.LinAlgError) as reason:
+                values, status = np.full(horizon, np.nan), str(reason)
+            out = pd.DataFrame({"series_key": key, "ds": days.date, "forecast": values})
+        p, d, q = order
+        return out.assign(p=p, d=d, q=q, status=status)
 
-    return series.groupBy("series_key").applyInPandas(run, "series_key STRING, ds DATE, forecast DOUBLE")
+    found = series.groupBy("series_key").applyInPandas(run, _ARIMA)
+    return found.withColumn("forecast", F.nanvl("forecast", F.lit(None).cast("double")))
 
 
-_SELECTION = "series_key STRING, p INT, d INT, q INT, aic DOUBLE, bic DOUBLE, mae DOUBLE, rmse DOUBLE, mape DOUBLE"
+_SELECTION = "series_key STRING, p INT, d INT, q INT, aic DOUBLE, bic DOUBLE, mae DOUBLE, rmse DOUBLE, mape DOUBLE, status STRING"
 
 
 def select_arima(
@@ -201,39 +204,40 @@ def select_arima(
     """Score each order on the last points of each series; `place` 1 is the best RMSE.
 
     One group per series and order, so a single long series still uses several
-    tasks. Orders a series is too short for are left out.
+    tasks. An order that cannot be fitted has NULL measures, the reason as its
+    status and a place behind the others.
     """
     candidates = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(d).alias("d"), F.lit(q).alias("q")) for p, d, q in orders])
     paired = series.withColumn("order", F.explode(candidates)).select("series_key", "ds", "y", "order.*")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        columns = ["series_key", "p", "d", "q", "aic", "bic", "mae", "rmse", "mape"]
-        group = group.dropna(subset=["ds", "y"]).sort_values("ds")
-        if group.empty:
-            return pd.DataFrame(columns=columns)
         head = group.iloc[0]
         order = (int(head["p"]), int(head["d"]), int(head["q"]))
-        y = group["y"].to_numpy(dtype=float)
+        y = group.dropna(subset=["ds", "y"]).sort_values("ds")["y"].to_numpy(dtype=float)
         train, test = y[:-test_points], y[-test_points:]
+        measures, status = {}, FITTED
         try:
             fit = fit_arima(train, order)
             error = test - predict_arima(train, fit, len(test))
-        except (ValueError, np.linalg.LinAlgError):
-            return pd.DataFrame(columns=columns)
-        share = np.abs(error[test != 0] / test[test != 0])
-        row = (
-            head["series_key"],
-            *order,
-            fit["aic"],
-            fit["bic"],
-            np.mean(np.abs(error)),
-            np.sqrt(np.mean(error**2)),
-            np.mean(share) * 100 if len(share) else np.nan,
-        )
-        return pd.DataFrame([row], columns=columns)
+            share = np.abs(error[test != 0] / test[test != 0])
+            measures = {
+                "aic": fit["aic"],
+                "bic": fit["bic"],
+                "mae": np.mean(np.abs(error)),
+                "rmse": np.sqrt(np.mean(error**2)),
+                "mape": np.mean(share) * 100 if len(share) else np.nan,
+            }
+        except (ValueError, np.linalg.LinAlgError) as reason:
+            status = str(reason)
+        p, d, q = order
+        named = {"series_key": head["series_key"], "p": p, "d": d, "q": q}
+        blank = dict.fromkeys(("aic", "bic", "mae", "rmse", "mape"), np.nan)
+        return pd.DataFrame([named | blank | measures | {"status": status}])
 
     scored = paired.groupBy("series_key", "p", "d", "q").applyInPandas(run, _SELECTION)
-    best = Window.partitionBy("series_key").orderBy("rmse", "p", "d", "q")
+    missing = F.lit(None).cast("double")
+    scored = scored.withColumns({c: F.nanvl(c, missing) for c in ("aic", "bic", "mae", "rmse", "mape")})
+    best = Window.partitionBy("series_key").orderBy(F.col("rmse").asc_nulls_last(), "p", "d", "q")
     return scored.withColumn("place", F.row_number().over(best))
 
 
@@ -248,9 +252,11 @@ def seasonal_design(days: np.ndarray, start: float, span: float, hinges: np.ndar
     return np.column_stack(columns)
 
 
-def forecast_seasonal(series: DataFrame, horizon: int = HORIZON) -> DataFrame:
+def forecast_seasonal(series: DataFrame, horizon: int = HORIZON, hinges: int = HINGES) -> DataFrame:
     """Trend plus yearly and weekly cycles: `series_key, ds, yhat, yhat_lower, yhat_upper`.
 
+    Every series gets the same `hinges` changes of trend, however short it is; the penalty keeps the fit determined.
+
     After Taylor and Letham, "Forecasting at Scale", 2018, fitted by ridge
     regression: the level and slope are free, trend changes and cycles shrink.
     """
@@ -262,15 +268,14 @@ def forecast_seasonal(series: DataFrame, horizon: int = HORIZON) -> DataFrame:
         y = group["y"].to_numpy(dtype=float)
         days = pd.to_datetime(group["ds"]).to_numpy().astype("datetime64[D]").astype(np.int64).astype(float)
         start, span = days[0], max(days[-1] - days[0], 1.0)
-        count = min(HINGES, max(0, len(y) // 4 - 1))
-        hinges = np.linspace(0.0, 0.8, count + 2)[1:-1] if count else np.empty(0)
-        x = seasonal_design(days, start, span, hinges)
+        turns = np.linspace(0.0, 0.8, hinges + 2)[1:-1]
+        x = seasonal_design(days, start, span, turns)
         level, scale = y.mean(), y.std() or 1.0
-        weight = np.concatenate([[1e-6, 1e-6], np.full(len(hinges), 10.0), np.full(x.shape[1] - 2 - len(hinges), 0.1)])
+        weight = np.concatenate([[1e-6, 1e-6], np.full(len(turns), 10.0), np.full(x.shape[1] - 2 - len(turns), 0.1)])
         beta = np.linalg.solve(x.T @ x + np.diag(weight), x.T @ ((y - level) / scale))
         spread = INTERVAL_Z * np.std(y - (x @ beta * scale + level))
         ahead = days[-1] + np.arange(1, horizon + 1)
-        yhat = seasonal_design(ahead, start, span, hinges) @ beta * scale + level
+        yhat = seasonal_design(ahead, start, span, turns) @ beta * scale + level
         return pd.DataFrame(
             {
                 "series_key": group["series_key"].iloc[0],

@@ -151,16 +151,16 @@ def tree_samples(
     """At most `sample` rows for each tree, chosen by hash and so by content alone.
 
     A first threshold thins the table to a pool of about twice what all trees
-    need, whatever its size. Only the pool is paired with tree numbers, a second
-    threshold keeps a few candidates per tree, and the lowest hashes win.
+    need, whatever its size. A second threshold leaves a few of the pool's rows to
+    each tree, chosen within the row before it is repeated, and the lowest hashes win.
     """
     pool_size = min(rows, 2 * trees * sample)
     keyed = df.withColumn("_row", _hash(seed, *[F.col(k) for k in keys]))
     pool = keyed.filter(_below(F.col("_row"), pool_size / max(rows, 1)))
-    drawn = (
-        pool.select("_row", *keys, *cols, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree_id"))
-        .withColumn("_draw", _hash(seed + 1, F.col("tree_id"), F.col("_row")))
-        .filter(_below(F.col("_draw"), 4.0 * sample / max(pool_size, 1)))
+    share = 4.0 * sample / max(pool_size, 1)
+    chosen = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: _below(_hash(seed + 1, t, F.col("_row")), share))
+    drawn = pool.select("_row", *keys, *cols, F.explode(chosen).alias("tree_id")).withColumn(
+        "_draw", _hash(seed + 1, F.col("tree_id"), F.col("_row"))
     )
     # A tree has about 4 x sample candidates, so this group is bounded as well.
     order = F.row_number().over(Window.partitionBy("tree_id").orderBy("_draw", *keys))

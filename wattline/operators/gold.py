@@ -11,7 +11,7 @@ import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.functions.measures import DECIMALS, flag, stable_avg, stable_std, stable_sum
+from wattline.functions.measures import flag, stable_avg, stable_std, stable_sum
 from wattline.functions.quantiles import attach_scalars
 from wattline.schemas import CUSTOMER_KEYS
 
@@ -107,10 +107,10 @@ def customer_summary(tx: DataFrame) -> DataFrame:
 
 def customer_summary_from(profile: DataFrame) -> DataFrame:
     """`customer_summary` rolled up from `features.customer_profile`."""
-    spent = F.round(F.sum("total_spent"), DECIMALS)
+    spent = stable_sum(F.col("total_spent"))
     return profile.groupBy("meter_number", "account_number").agg(
         spent.alias("customer_total_spent"),
-        F.round(F.sum("total_units"), DECIMALS).alias("customer_total_units"),
+        stable_sum(F.col("total_units")).alias("customer_total_units"),
         F.sum("transaction_count").alias("customer_transactions"),
         F.try_divide(spent, F.sum("priced_count")).alias("customer_avg_purchase"),
         F.max("last_transaction_time").alias("last_purchase_date"),

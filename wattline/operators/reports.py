@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.functions.measures import count_where, stable_sum
@@ -26,8 +26,12 @@ def with_period(monthly: DataFrame) -> DataFrame:
 
 
 def complete_periods(df: DataFrame) -> DataFrame:
-    """Without the latest period, which is still filling up."""
-    return df.filter(F.col("period") != df.agg(F.max("period")).scalar())
+    """Without the latest period, which is still filling up.
+
+    A table of periods has a row for each, so the maximum over all of them is a small window and no second pass.
+    """
+    latest = F.max("period").over(Window.partitionBy())
+    return df.withColumn("_latest", latest).filter(F.col("period") != F.col("_latest")).drop("_latest")
 
 
 def revenue_trend(monthly: DataFrame) -> DataFrame:
@@ -53,9 +57,9 @@ def kpi_overview(monthly: DataFrame, scores: DataFrame) -> DataFrame:
     """Headline figures; months without a date count towards the totals."""
     risky = F.col("anomaly_score") > 0
     totals = monthly.agg(
-        F.round(F.sum("total_revenue"), 4).alias("total_revenue"),
+        stable_sum(F.col("total_revenue")).alias("total_revenue"),
         F.sum("total_transactions").alias("total_transactions"),
-        F.round(F.sum("total_units_sold"), 4).alias("total_units"),
+        stable_sum(F.col("total_units_sold")).alias("total_units"),
     )
     risk = scores.agg(
         count_where(risky).alias("anomaly_cases"),

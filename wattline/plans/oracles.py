@@ -96,7 +96,8 @@ ORACLES["csv_infer"] = f"""with {TX} select * replace ({stamp("transaction_date"
   {stamp("customer_connectdate")} as customer_connectdate, cast(vendor_id as integer) as vendor_id,
   cast(meter_number as integer) as meter_number, cast(receipt_number as integer) as receipt_number) from tx"""
 
-ORACLES["parquet_scan"] = "select o_orderkey, o_custkey, o_totalprice from orders where o_totalprice > 100000"
+ORACLES["parquet_scan"] = "select o_orderkey, o_custkey, o_totalprice from orders"
+ORACLES["pushed_filter"] = "select o_orderkey, o_custkey, o_totalprice from orders where o_totalprice > 100000"
 
 ORACLES["append_merge_schema"] = f"""with {TX} select receipt_number, {stamp("transaction_date")} as transaction_date,
   purchase_amount, electricity_units, case when transaction_date >= timestamp '1998-01-01' then
@@ -425,3 +426,38 @@ ORACLES["future_dates"] = f"""with {TX}, last as (select meter_number, max(cast(
 select cast(meter_number as varchar) as series_key, {day("last + cast(n as integer)")} as ds from last, range(1, 31) r(n)"""
 ORACLES["filled_series"] = f"""with {TX}, {_SERIES}, days as (select unnest(generate_series(min(ds), max(ds), interval 1 day)) as ds from series)
 select 'all' as series_key, {day("days.ds")} as ds, coalesce(y, 0) as y from days left join series on series.ds = cast(days.ds as date)"""
+
+# An order (1, 1, 0) is one least-squares coefficient over the daily changes from the tenth on, with a ridge of 1e-8.
+_CHANGES = f"""town_days as (select town as series_key, cast(transaction_date as date) as ds, {money("purchase_amount")} as y
+  from tx where transaction_date is not null group by 1, 2),
+placed as (select *, row_number() over (partition by series_key order by ds desc) as back from town_days),
+changes as (select series_key, ds, y, y - lag(y) over w as x, row_number() over w - 2 as t from placed where back > {{skip}}
+  window w as (partition by series_key order by ds)),
+pairs as (select *, lag(x) over (partition by series_key order by ds) as before from changes),
+fits as (select series_key, max(t) + 1 as n, max_by(y, t) as last_y, max_by(x, t) as last_x, max(ds) as last_ds,
+    sum(x * before) filter (t >= 9) / (sum(before * before) filter (t >= 9) * (1 + 1e-8)) as b
+  from pairs group by 1)"""
+ORACLES["forecast_towns"] = f"""with {TX}, {_CHANGES.format(skip=0)}
+select series_key, {day("last_ds + cast(h as integer)")} as ds,
+  case when n >= 15 then round(last_y + last_x * b * (1 - pow(b, h)) / (1 - b), 2) end as forecast,
+  1::integer as p, 1::integer as d, 0::integer as q,
+  case when n >= 15 then 'fitted' else (n + 1) || ' points are too few for order (1, 1, 0)' end as status
+from fits, range(1, 31) r(h)"""
+ORACLES["order_errors"] = f"""with {TX}, {_CHANGES.format(skip=30)},
+orders as (select unnest([0, 1]) as p),
+shocks as (select pairs.series_key, p, f.n - p as n, avg(pow(x - case when p = 1 then b * coalesce(before, 0) else 0 end, 2)) as v
+  from pairs join fits f using (series_key), orders where t >= p group by 1, 2, 3),
+tests as (select placed.series_key, p, y,
+    last_y + case when p = 1 then last_x * b * (1 - pow(b, h)) / (1 - b) else 0 end as yhat
+  from (select *, row_number() over (partition by series_key order by ds) as h from placed where back <= 30) placed
+    join fits using (series_key), orders),
+errors as (select series_key, p, avg(abs(y - yhat)) as mae, sqrt(avg(pow(y - yhat, 2))) as rmse,
+  avg(abs((y - yhat) / nullif(y, 0))) * 100 as mape from tests group by 1, 2)
+select series_key, p::integer as p, 1::integer as d, 0::integer as q, round(n * ln(v) + 2 * (p + 1), 4) as aic,
+  round(n * ln(v) + (p + 1) * ln(n), 4) as bic, round(mae, 4) as mae, round(rmse, 4) as rmse, round(mape, 4) as mape,
+  'fitted' as status, row_number() over (partition by series_key order by errors.rmse, p)::integer as place
+from errors join shocks using (series_key, p)"""
+ORACLES["forecast_unit_days"] = f"""with {TX}, last as (
+  select meter_number, max(cast(transaction_date as date)) as last from tx group by 1)
+select cast(meter_number as varchar) as meter_number, {day("last + cast(n as integer)")} as ds, true as inside
+from last, range(1, 31) r(n)"""

@@ -172,6 +172,17 @@ def national_series(spark: SparkSession, folder: str) -> DataFrame:
     return forecast.as_series(daily, "daily_revenue")
 
 
+def town_series(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily revenue of every town."""
+    by_day = gold.daily_town(sales(spark, folder, "transaction_date", "town", "purchase_amount", "electricity_units"))
+    return forecast.as_series(by_day, "revenue", key=F.col("town"))
+
+
+def revenue_series(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily revenue of the country and of every town."""
+    return national_series(spark, folder).unionByName(town_series(spark, folder))
+
+
 # --- sources and sinks ----------------------------------------------------
 
 
@@ -193,6 +204,12 @@ def csv_infer(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def parquet_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return files.read_table(spark, f"{folder}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query
+def pushed_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """A filter that the scan itself applies."""
     return files.read_table(spark, f"{folder}/orders.parquet").filter("o_totalprice > 100000").select(
         "o_orderkey", "o_custkey", "o_totalprice"
     )
@@ -210,7 +227,8 @@ def append_merge_schema(spark: SparkSession, folder: str) -> DataFrame:
     """Sales before and from 1998, the later ones with a price per unit."""
     path = new_path(spark, "append")
     tx = sales(spark, folder, "receipt_number", "transaction_date", "purchase_amount", "electricity_units")
-    old = F.col("transaction_date") < F.lit("1998-01-01").cast("timestamp")
+    # Rows without a date count as new ones; with a plain comparison they would be in neither part.
+    old = F.coalesce(F.col("transaction_date") < F.lit("1998-01-01").cast("timestamp"), F.lit(False))
     sinks.append_table(tx.filter(old), path)
     sinks.append_table(tx.filter(~old).transform(clean.add_unit_price), path)
     return files.read_table(spark, path, merge_schema=True).select(*tx.columns, "price_per_unit")
@@ -604,18 +622,40 @@ def filled_series(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def forecast_revenue(spark: SparkSession, folder: str) -> DataFrame:
-    ahead = forecast.forecast_arima(national_series(spark, folder))
-    return ahead.select(F.col("ds").alias("date"), F.col("forecast").alias("forecast_revenue"))
+    """Next 30 days of the country and of every town."""
+    ahead = forecast.forecast_arima(revenue_series(spark, folder))
+    return ahead.withColumnsRenamed({"ds": "date", "forecast": "forecast_revenue"})
+
+
+@query
+def forecast_towns(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for towns by an order whose least squares have a closed form."""
+    ahead = forecast.forecast_arima(town_series(spark, folder), (1, 1, 0))
+    return ahead.withColumn("forecast", F.round("forecast", 2))
 
 
 @query
 def model_selection(spark: SparkSession, folder: str) -> DataFrame:
-    return forecast.select_arima(national_series(spark, folder))
+    return forecast.select_arima(revenue_series(spark, folder))
+
+
+@query
+def order_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """The selection over two orders with a closed form."""
+    scored = forecast.select_arima(town_series(spark, folder), ((0, 1, 0), (1, 1, 0)))
+    return scored.withColumns({c: F.round(c, 4) for c in ("aic", "bic", "mae", "rmse", "mape")})
 
 
 @query
 def forecast_units(spark: SparkSession, folder: str) -> DataFrame:
-    """Next 30 days of the ten busiest meters."""
-    daily = features.meter_daily(sales(spark, folder, "meter_number", "transaction_date", "electricity_units"), 10)
+    """Next 30 days of every meter."""
+    daily = features.meter_daily(sales(spark, folder, "meter_number", "transaction_date", "electricity_units"), None)
     series = forecast.as_series(daily, "y", "ds", F.col("meter_number"))
     return forecast.forecast_seasonal(series).withColumnRenamed("series_key", "meter_number")
+
+
+@query
+def forecast_unit_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Meters and days of the unit forecasts, and whether each forecast lies in its interval."""
+    inside = (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
+    return forecast_units(spark, folder).select("meter_number", "ds", inside.alias("inside"))
