@@ -1,11 +1,12 @@
 """What the physical plans look like, and that skew is split."""
 
+import os
 import re
 
 from pyspark.sql import functions as F
 
 from wattline import session
-from wattline.operators import clean, features, gold, risk
+from wattline.operators import clean, features, forecast, gold, risk
 from wattline.plans import medallion, queries, revenue
 from wattline.session import materialize, new_path
 from wattline.sources import sinks
@@ -25,7 +26,7 @@ def test_monthly_table_reads_three_columns_of_one_table(spark, small):
 
 
 def test_filters_reach_the_scan(spark, small):
-    text = plan(queries.QUERIES["parquet_scan"](spark, small))
+    text = plan(queries.QUERIES["pushed_filter"](spark, small))
     assert "GreaterThan(o_totalprice,100000.0)" in text
 
 
@@ -150,3 +151,36 @@ def test_csv_to_gold_and_scores(spark, small):
     assert not revenue.suspicious_customers(sales, n=5, trees=20, sample=64).isEmpty()
     never = risk.documented_rules(scores).filter("rule_never_bought = 1")
     assert never.count() == scores.filter("total_units = 0 or transaction_count = 0").count()
+
+
+def test_clean_up_leaves_nothing(spark, small, monkeypatch):
+    folder = f"{session.shared_dir(spark)}/one-run"
+    monkeypatch.setattr(session, "run_dir", lambda _: folder)
+    tables = {t.name for t in spark.catalog.listTables("wattline")} if spark.catalog.databaseExists("wattline") else set()
+    for name in ("catalog_table", "csv_scan", "silver_from_messages"):
+        queries.QUERIES[name](spark, small).count()
+    assert os.listdir(folder)
+    session.clean_up(spark)
+    assert not os.path.exists(folder)
+    assert {t.name for t in spark.catalog.listTables("wattline")} == tables
+
+
+def test_series_plans_read_the_sales_once(spark, small):
+    for name in ("revenue_trend", "filled_series"):
+        plan = queries.QUERIES[name](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(r"Relation \[[^\]]*l_shipdate", plan)) == 1, name
+
+
+def test_cleaning_report_ships_no_struct_of_all_columns(spark, small):
+    plan = queries.QUERIES["cleaning_report"](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "min(struct" not in plan and "WindowGroupLimit" in plan
+
+
+def test_forecast_tables_are_written(spark, small):
+    base = new_path(spark, "forecasts")
+    daily = queries.revenue_series(spark, small).filter("series_key in ('all', 'FRANCE')")
+    meters = forecast.as_series(features.meter_daily(queries.sales(spark, small), 3), "y", "ds", F.col("meter_number"))
+    stored = {n: read_table(spark, p) for n, p in medallion.build_forecasts(daily, meters, base).items()}
+    assert stored["unit_forecast"].count() == 3 * forecast.HORIZON
+    assert stored["model_comparison"].count() == daily.select("series_key").distinct().count() * 5
+    assert {"date", "forecast_revenue", "status"} <= set(stored["revenue_forecast"].columns)

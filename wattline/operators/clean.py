@@ -15,6 +15,7 @@ from wattline.functions.casting import (
     upper_trimmed,
 )
 from wattline.functions.measures import count_where
+from wattline.functions.quantiles import attach_scalars
 from wattline.schemas import AMOUNTS
 
 # Spellings found in exports, and the canonical name of each.
@@ -71,7 +72,8 @@ def dedup(
 ) -> DataFrame:
     """The first row per key in a total order, so that reruns keep the same row.
 
-    NULL keys are one group unless `keep_null_keys`. Filtering on the row number
+    NULL keys are one group unless `keep_null_keys`; keeping them reads the input
+    twice, so give a stored one. Filtering on the row number
     lets Spark keep one row per key in each task before the shuffle, so a key
     with a third of all rows ships one row per task.
     """
@@ -138,18 +140,18 @@ def silver_sales(bronze: DataFrame, order_by: Sequence[str | Column] = ()) -> Da
 def cleaning_report(
     df: DataFrame, key: str = "receipt_number", order_by: Sequence[str | Column] = ()
 ) -> DataFrame:
-    """Bronze rows, duplicates removed and rows left after cleaning, in one pass.
+    """Bronze rows, duplicates removed and rows left after cleaning.
 
-    A running minimum per key stands in for the kept row, so only a count, an
-    order and an amount are combined and shuffled, never the rows.
+    The kept rows come from `dedup`, which ships one row per key and task; the row count reads no columns.
     """
-    order = total_order(df, [key], order_by)
-    first = F.min(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], F.col("purchase_amount").alias("amount")))
-    per_key = df.groupBy(key).agg(F.count("*").alias("n"), first.alias("first"))
-    return per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("bronze_rows"),
-        (F.coalesce(F.sum("n"), F.lit(0)) - F.count("*")).alias("duplicates_removed"),
-        count_where(F.col("first.amount") > 0).alias("rows_after_cleaning"),
+    kept = dedup(df, (key,), order_by).agg(
+        F.count("*").alias("kept"), count_where(F.col("purchase_amount") > 0).alias("rows_after_cleaning")
+    )
+    both = attach_scalars(kept, df.agg(F.count("*").alias("bronze_rows")))
+    return both.select(
+        F.col("stats.bronze_rows").alias("bronze_rows"),
+        (F.col("stats.bronze_rows") - F.col("kept")).alias("duplicates_removed"),
+        "rows_after_cleaning",
     )
 
 

@@ -13,6 +13,7 @@ from wattline.functions.measures import count_where, stable_avg, stable_std, sta
 from wattline.functions.quantiles import attach_scalars
 from wattline.operators.gold import as_of_column
 from wattline.schemas import CUSTOMER_KEYS, MODEL_FEATURES
+from wattline.session import materialize
 
 RECENT_DAYS = 30
 
@@ -165,12 +166,13 @@ def risk_features(profile: DataFrame, behaviour: DataFrame | None = None) -> Dat
     Behaviour is per meter, so a meter seen in two towns carries it on both
     rows, and a NULL meter matches nothing.
 
-    Both sides read the profile, so give a stored one. With a stored
-    `behaviour` (`recent_history_from`) as well, both join inputs are plain
-    shuffles, which AQE can split when one meter or NULL holds a large share.
+    Both sides read the profile, so give a stored one. `behaviour`
+    (`recent_history_from`) is stored unless a stored one is given: both join
+    inputs are then plain shuffles, which AQE can split when one meter or NULL
+    holds a large share.
     """
     if behaviour is None:
-        behaviour = recent_history_from(profile)
+        behaviour = materialize(recent_history_from(profile), "behaviour")
     return (
         risk_base_from(profile)
         .join(behaviour, "meter_number", "left")
@@ -188,12 +190,15 @@ def standardize(df: DataFrame, cols: Sequence[str] = MODEL_FEATURES) -> DataFram
     moments = df.agg(
         *[F.avg(c).alias(f"{c}_mean") for c in cols], *[F.stddev_pop(c).alias(f"{c}_std") for c in cols]
     )
-    scales = {f"{c}_std": F.when(F.col(f"{c}_std") > 0, F.col(f"{c}_std")).otherwise(F.lit(1.0)) for c in cols}
-    return (
-        attach_scalars(df, moments.withColumns(scales))
-        .withColumns({c: (F.col(c) - F.col(f"stats.{c}_mean")) / F.col(f"stats.{c}_std") for c in cols})
-        .drop("stats")
-    )
+    joined = attach_scalars(df, moments)
+
+    def scaled(c: str) -> Column:
+        mean, deviation = F.col(f"stats.{c}_mean"), F.col(f"stats.{c}_std")
+        # Below that a deviation is the rounding of the mean and the column is constant.
+        varies = deviation > F.abs(mean) * 1e-12
+        return F.when(varies, (F.col(c) - mean) / deviation).when(F.col(c).isNotNull(), F.lit(0.0))
+
+    return joined.withColumns({c: scaled(c) for c in cols}).drop("stats")
 
 
 def token_depletion_from(profile: DataFrame) -> DataFrame:
@@ -233,14 +238,10 @@ def top_meters(tx: DataFrame, k: int = 1) -> DataFrame:
 
 
 def meter_daily(tx: DataFrame, k: int | None = 1) -> DataFrame:
-    """Units per meter and day: for the k busiest meters, or for all with None.
-
-    The k chosen meters are k rows by construction, so sending them to every
-    task is safe.
-    """
+    """Units per meter and day: for the k busiest meters, or for all with None."""
     if k is not None:
         chosen = top_meters(tx, k).select("meter_number")
-        tx = tx.join(F.broadcast(chosen), "meter_number", "left_semi")
+        tx = tx.join(chosen, "meter_number", "left_semi")
     return (
         tx.transform(with_date, out="ds", drop_null=True)
         .groupBy("meter_number", "ds")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from wattline.functions.quantiles import attach_scalars, exact_quantiles
 from wattline.operators.features import sanitize
-from wattline.operators.risk import risk_tiers, scenario_flags
+from wattline.operators.risk import SCENARIO_LIMITS, TIER_SHARES, tier, with_flags
 from wattline.schemas import CUSTOMER_KEYS, MODEL_FEATURES
 from wattline.session import materialize
 
@@ -213,6 +213,15 @@ def score_forest(df: DataFrame, model: ForestModel) -> DataFrame:
     return df.withColumn("outlier_score", outlier(*[F.col(c) for c in model.cols]))
 
 
+def _decided(df: DataFrame) -> DataFrame:
+    """Decision, prediction and risk score from `_s`, the negated outlier score, and `stats.offset`."""
+    return (
+        df.withColumn("isolation_score", F.col("_s") - F.col("stats.offset"))
+        .withColumn("isolation_prediction", F.when(F.col("isolation_score") < 0, -1).otherwise(1))
+        .withColumn("risk_score", -F.col("isolation_score"))
+    )
+
+
 def add_decision(scored: DataFrame, contamination: float = CONTAMINATION) -> DataFrame:
     """Decision value (negative = outlier), -1/1 prediction and risk score.
 
@@ -220,25 +229,18 @@ def add_decision(scored: DataFrame, contamination: float = CONTAMINATION) -> Dat
     """
     negated = scored.withColumn("_s", -F.col("outlier_score"))
     offset = exact_quantiles(negated, {"offset": ("_s", contamination)})
-    return (
-        attach_scalars(negated, offset)
-        .withColumn("isolation_score", F.col("_s") - F.col("stats.offset"))
-        .withColumn("isolation_prediction", F.when(F.col("isolation_score") < 0, -1).otherwise(1))
-        .withColumn("risk_score", -F.col("isolation_score"))
-        .drop("_s", "stats", "outlier_score")
-    )
+    return attach_scalars(negated, offset).transform(_decided).drop("_s", "stats", "outlier_score")
 
 
-def forest_scores(
+def outliers(
     features: DataFrame,
     trees: int = TREES,
     sample: int = SAMPLE,
     seed: int = SEED,
-    contamination: float = CONTAMINATION,
     cols: Sequence[str] = MODEL_FEATURES,
     keys: Sequence[str] = CUSTOMER_KEYS,
 ) -> DataFrame:
-    """Features with the forest's decision, prediction and risk score.
+    """Features with the forest's `outlier_score`, stored for the passes that follow.
 
     The model reads sanitised copies of the columns; the result carries the
     originals. Scaling them first (`features.standardize`) would change nothing:
@@ -248,12 +250,22 @@ def forest_scores(
     copies = {c: f"_z_{c}" for c in cols}
     inputs = sanitize(features.withColumns({z: F.col(c) for c, z in copies.items()}), list(copies.values()))
     model = fit_forest(inputs, list(copies.values()), trees, sample, seed, keys)
-    scored = score_forest(inputs, model).drop(*copies.values())
-    # Stored once: the quantile below and those of the tiers read it again.
-    return add_decision(materialize(scored, "forest-scores"), contamination)
+    return materialize(score_forest(inputs, model).drop(*copies.values()), "forest-scores")
+
 
+def forest_scores(features: DataFrame, contamination: float = CONTAMINATION, **forest) -> DataFrame:
+    """Features with the forest's decision, prediction and risk score."""
+    return add_decision(outliers(features, **forest), contamination)
 
-def anomaly_scores(features: DataFrame, **forest) -> DataFrame:
-    """Forest scores, risk tiers and scenario flags over stored risk features."""
-    decided = materialize(forest_scores(features, **forest), "decisions")
-    return decided.transform(risk_tiers).transform(scenario_flags)
+
+def anomaly_scores(features: DataFrame, contamination: float = CONTAMINATION, **forest) -> DataFrame:
+    """Forest scores, risk tiers and scenario flags over stored risk features.
+
+    The risk score is the outlier score shifted by the offset, so its tiers can be cut at quantiles of the outlier score
+    itself, and offset, tiers and flags take their seven quantiles from the same two passes.
+    """
+    negated = outliers(features, **forest).withColumn("_s", -F.col("outlier_score"))
+    wanted = {name: ("outlier_score", share) for name, share in TIER_SHARES.items()} | SCENARIO_LIMITS
+    limits = exact_quantiles(negated, wanted | {"offset": ("_s", contamination)})
+    decided = attach_scalars(negated, limits).transform(_decided).withColumn("anomaly_score", tier(F.col("outlier_score")))
+    return decided.transform(with_flags).drop("_s", "stats", "outlier_score")

@@ -12,22 +12,19 @@ from wattline.functions.quantiles import attach_scalars, exact_quantiles
 from wattline.schemas import SCENARIO_FLAGS
 
 
-def scenario_flags(features: DataFrame) -> DataFrame:
-    """The eight explainable flags, their sum, and the older name of the first.
-
-    The four quantile limits are exact and come from one extra pass over
-    `features`, so give a stored frame.
-    """
+#: Quantiles that the scenario flags and the tiers compare with: name -> (column, share).
+SCENARIO_LIMITS = {
+    "volume": ("max_purchase", 0.95),
+    "frequent": ("transaction_count", 0.95),
+    "interval": ("avg_depletion_interval_days", 0.05),
+    "variable": ("std_purchase", 0.95),
+}
+TIER_SHARES = {"p90": 0.90, "p98": 0.98}
+
+
+def with_flags(df: DataFrame) -> DataFrame:
+    """The eight flags, their sum, and the older name of the first, by the limits in the struct `stats`."""
     c = F.col
-    limits = exact_quantiles(
-        features,
-        {
-            "volume": ("max_purchase", 0.95),
-            "frequent": ("transaction_count", 0.95),
-            "interval": ("avg_depletion_interval_days", 0.05),
-            "variable": ("std_purchase", 0.95),
-        },
-    )
     flags = {
         "irregular_vending_volume_flag": c("max_purchase") >= c("stats.volume"),
         "frequent_transaction_flag": c("transaction_count") >= c("stats.frequent"),
@@ -40,20 +37,37 @@ def scenario_flags(features: DataFrame) -> DataFrame:
     }
     total = sum((c(name) for name in SCENARIO_FLAGS[1:]), c(SCENARIO_FLAGS[0]))
     return (
-        attach_scalars(features, limits)
-        .withColumns({name: flag(rule) for name, rule in flags.items()})
+        df.withColumns({name: flag(rule) for name, rule in flags.items()})
         .withColumn("high_value_flag", c("irregular_vending_volume_flag"))
         .withColumn("fraud_scenario_score", total)
-        .drop("stats")
     )
 
 
+def tier(score: Column) -> Column:
+    """2 in the top 2 % of risk, 1 in the top 10 %, else 0, by the cuts in the struct `stats`."""
+    return F.when(score >= F.col("stats.p98"), 2).when(score >= F.col("stats.p90"), 1).otherwise(0)
+
+
+def scenario_flags(features: DataFrame) -> DataFrame:
+    """The eight explainable flags, their sum, and the older name of the first.
+
+    The four quantile limits are exact and come from one extra pass over
+    `features`, so give a stored frame.
+    """
+    return attach_scalars(features, exact_quantiles(features, SCENARIO_LIMITS)).transform(with_flags).drop("stats")
+
+
 def risk_tiers(scored: DataFrame, score: str = "risk_score") -> DataFrame:
     """`anomaly_score`: 2 in the top 2 % of risk, 1 in the top 10 %, else 0."""
-    cuts = exact_quantiles(scored, {"p90": (score, 0.90), "p98": (score, 0.98)})
-    s = F.col(score)
-    tier = F.when(s >= F.col("stats.p98"), 2).when(s >= F.col("stats.p90"), 1).otherwise(0)
-    return attach_scalars(scored, cuts).withColumn("anomaly_score", tier).drop("stats")
+    cuts = exact_quantiles(scored, {name: (score, share) for name, share in TIER_SHARES.items()})
+    return attach_scalars(scored, cuts).withColumn("anomaly_score", tier(F.col(score))).drop("stats")
+
+
+def tiers_and_flags(scored: DataFrame, score: str = "risk_score") -> DataFrame:
+    """Both of the above with all six quantiles from the same passes."""
+    wanted = {name: (score, share) for name, share in TIER_SHARES.items()} | SCENARIO_LIMITS
+    both = attach_scalars(scored, exact_quantiles(scored, wanted))
+    return both.withColumn("anomaly_score", tier(F.col(score))).transform(with_flags).drop("stats")
 
 
 def documented_rules(features: DataFrame) -> DataFrame:

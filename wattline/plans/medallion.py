@@ -7,11 +7,12 @@ import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.operators import features, gold
-from wattline.operators.clean import add_calendar, silver_clean, stamp
+from wattline.operators import features, forecast, gold
+from wattline.operators.clean import add_calendar, silver_clean, silver_sales, stamp
+from wattline.operators.messages import to_canonical
 from wattline.plans.revenue import score_customers
 from wattline.sources.files import read_raw_csv, read_table
-from wattline.sources.sinks import layout, write_table
+from wattline.sources.sinks import append_table, ensure_table, layout, write_table
 
 # Gold tables of a few rows per month or town, kept in one file each.
 _SMALL = ("monthly_revenue", "town_summary", "payment_trends", "daily_features")
@@ -70,3 +71,43 @@ def build_scores(risk_features: DataFrame, out: str, fmt: str = "parquet", **for
     """Forest and scenario scores of stored risk features to `gold_anomaly_scores`."""
     write_table(score_customers(risk_features, **forest), f"{out}/gold_anomaly_scores", fmt=fmt)
     return read_table(risk_features.sparkSession, f"{out}/gold_anomaly_scores", fmt)
+
+
+def silver_from_messages(
+    messages: DataFrame, out: str, fmt: str = "parquet", database: str | None = None, table: str = "silver_sales"
+) -> DataFrame:
+    """The message route: bronze messages to sales in silver, appended, and registered if a database is named.
+
+    Receipts that silver holds already are left alone, so running it again over the same bronze adds nothing and over a
+    grown one adds what is new. New columns are united with the old ones on reading.
+    """
+    spark = messages.sparkSession
+    fresh = messages.transform(to_canonical).transform(silver_sales).transform(stamp, "processing_date")
+    path = spark._jvm.org.apache.hadoop.fs.Path(out)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        known = read_table(spark, out, fmt).select("receipt_number").where("receipt_number is not null")
+        fresh = fresh.join(known, "receipt_number", "left_anti")
+    append_table(fresh, out, fmt)
+    if database:
+        ensure_table(spark, database, table, None, out, fmt)
+    return read_table(spark, out, fmt, merge_schema=True)
+
+
+def build_forecasts(
+    daily: DataFrame, meter_days: DataFrame, out: str, fmt: str = "parquet", horizon: int = forecast.HORIZON
+) -> dict[str, str]:
+    """Write the forecast tables; returns name -> path.
+
+    `daily` and `meter_days` are series (`series_key`, `ds`, `y`): revenue of the country, of towns or both, and units
+    of each meter. The first also gives the comparison of ARIMA orders.
+    """
+    tables = {
+        "revenue_forecast": forecast.forecast_arima(daily, horizon=horizon).withColumnsRenamed(
+            {"ds": "date", "forecast": "forecast_revenue"}
+        ),
+        "model_comparison": forecast.select_arima(daily),
+        "unit_forecast": forecast.forecast_seasonal(meter_days, horizon),
+    }
+    for name, table in tables.items():
+        write_table(table, f"{out}/{name}", fmt=fmt)
+    return {name: f"{out}/{name}" for name in tables}

@@ -215,6 +215,19 @@ ORACLES["ingest_progress"] = """select n as rows_ingested, n / 43000000.0 * 100
   case when n > 10 then (43000000 - n) / (n / 10.0) else 0 end as eta_minutes from
   (select cast(count(*) as bigint) as n from lineitem) replace_me"""
 
+ORACLES["live_report_alerts"] = f"with {_LIVE} select least(count(*), 50) as live_alerts from live where purchase_amount > 100000"
+
+_CANON = ["transaction_date", "vendor_id", "meter_number", "account_number", "purchase_amount", "electricity_units", "town"]
+ORACLES["silver_from_messages"] = f"""with {TX}, canon as (select transaction_date, cast(vendor_id as varchar) as vendor_id,
+  cast(meter_number as varchar) as meter_number, account_number, cast(receipt_number as varchar) as receipt_number,
+  purchase_amount, electricity_units, town from tx)
+select * replace ({stamp("transaction_date")} as transaction_date),
+  'silver' as layer, cast(year(transaction_date) as integer) as year, cast(month(transaction_date) as integer) as month,
+  cast(dayofweek(transaction_date) + 1 as integer) as day_of_week,
+  case when dayofweek(transaction_date) in (0, 6) then 1 else 0 end as is_weekend,
+  case when electricity_units > 0 then purchase_amount / electricity_units else 0 end as price_per_unit
+from {first_per_receipt("canon", _CANON)} where purchase_amount > 0"""
+
 # --- gold -----------------------------------------------------------------
 
 _MONTHLY = f"""monthly as (select cast(year(transaction_date) as integer) as year, cast(month(transaction_date) as integer) as month,
@@ -222,6 +235,9 @@ _MONTHLY = f"""monthly as (select cast(year(transaction_date) as integer) as yea
   count(*) as total_transactions, {mean("purchase_amount")} as avg_purchase_amount from tx group by 1, 2)"""
 ORACLES["monthly_revenue"] = ORACLES["catalog_table"] = f"with {TX}, {_MONTHLY} select * from monthly"
 
+ORACLES["medallion_gold"] = f"""with {TX.replace("tx as", "sold as", 1)}, {RAW.replace("from tx", "from sold")}, {_CLEANED},
+tx as (select * from {first_per_receipt("cleaned")}), {_MONTHLY} select * from monthly"""
+
 _TOWNS = f"""towns as (select town, {money("purchase_amount")} as total_revenue,
   {money("electricity_units")} as total_units_sold, count(*) as total_transactions,
   {mean("purchase_amount")} as avg_purchase_amount from tx group by town)"""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from wattline import schemas
 from wattline.operators import clean, features, forecast, forest, gold, messages, reports, risk
-from wattline.plans import revenue
+from wattline.plans import medallion, revenue
 from wattline.session import materialize, new_path
 from wattline.sources import broker, files, sinks
 from wattline.sources.star_schema import event_transactions, latest_date, transactions
@@ -351,7 +351,7 @@ def _live_reports(spark: SparkSession, folder: str) -> str:
     drop, out = new_path(spark, "drop"), new_path(spark, "live")
     events = live_events(spark, folder)
     sinks.write_csv_files(events, drop)
-    stream = files.csv_stream(spark, drop, files.infer_csv_schema(spark, drop))
+    stream = files.csv_stream(spark, drop, events.schema)
     live.start_live(stream, out, new_path(spark, "offsets"), {"availableNow": True}).awaitTermination()
     return out
 
@@ -378,8 +378,15 @@ def live_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return _read_report(spark, f"{_live_reports(spark, folder)}/live_alerts", schema)
 
 
+@query
+def live_report_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts in the stored live report, which holds the largest ones."""
+    return reports.alert_count(live_alerts(spark, folder))
+
+
 @query
 def live_alert_count(spark: SparkSession, folder: str) -> DataFrame:
+    """All alerts of the event table, not only those of the stored report."""
     return reports.alert_count(risk.high_value_alerts(live_events(spark, folder), n=None))
 
 
@@ -388,9 +395,29 @@ def ingest_progress(spark: SparkSession, folder: str) -> DataFrame:
     return reports.ingest_progress(sales(spark, folder, "receipt_number"))
 
 
+@query
+def silver_from_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages to silver in two runs, the second over all messages again."""
+    sent, path = materialize(sale_messages(spark, folder), "messages"), new_path(spark, "silver")
+    medallion.silver_from_messages(sent.filter("cast(transaction_id as bigint) % 3 = 0"), path)
+    name = "silver_" + path.rsplit("-", 1)[1]
+    found = medallion.silver_from_messages(sent, path, database="wattline", table=name)
+    return found.drop("processing_date")
+
+
 # --- gold -----------------------------------------------------------------
 
 
+@query
+def medallion_gold(spark: SparkSession, folder: str) -> DataFrame:
+    """Exports to bronze, silver and gold, and the monthly table read back."""
+    base = new_path(spark, "lake")
+    sinks.write_csv_files(raw_sales(spark, folder), f"{base}/csv")
+    medallion.build_bronze(spark, f"{base}/csv", f"{base}/bronze")
+    silver = medallion.build_silver(spark, f"{base}/bronze", f"{base}/silver")
+    return files.read_table(spark, medallion.build_gold(silver, f"{base}/gold")["monthly_revenue"])
+
+
 @query
 def monthly_revenue(spark: SparkSession, folder: str) -> DataFrame:
     return gold.monthly_revenue(sales(spark, folder, "transaction_date", "purchase_amount", "electricity_units"))

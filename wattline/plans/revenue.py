@@ -40,7 +40,7 @@ def rule_scores(risk_features: DataFrame, score: str = "max_purchase") -> DataFr
     Needs no model, so its tiers can be checked value by value.
     """
     scored = risk_features.withColumn("risk_score", F.col(score).cast("double"))
-    return scored.transform(risk.risk_tiers).transform(risk.scenario_flags)
+    return scored.transform(risk.tiers_and_flags)
 
 
 def suspicious_customers(

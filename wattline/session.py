@@ -25,7 +25,7 @@ SESSION_DEFAULTS = {
 OBJECT_STORE_DEFAULTS = {
     "spark.hadoop.fs.s3a.path.style.access": "true",
     "spark.hadoop.fs.s3a.fast.upload": "true",
-    "spark.hadoop.fs.s3a.multipart.size": "67108864",
+    "spark.hadoop.fs.s3a.multipart.size": "64M",
     "spark.hadoop.fs.s3a.committer.name": "directory",
 }
 
@@ -68,9 +68,31 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_fallback[0]
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The part of the shared folder that holds this application's files."""
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path below the run folder that nothing else uses."""
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clean_up(spark: SparkSession, database: str = "wattline") -> None:
+    """Remove this application's files from the shared folder, and the catalog tables that lie there.
+
+    Frames that still read them fail afterwards, so call it at the end of a job.
+    """
+    folder = run_dir(spark)
+    own = f"/{folder.rsplit('/', 1)[1]}/"
+    if spark.catalog.databaseExists(database):
+        for table in spark.catalog.listTables(database):
+            full = f"`{database}`.`{table.name}`"
+            place = spark.sql(f"DESCRIBE TABLE EXTENDED {full}").where("col_name = 'Location'").first()
+            if place and own in place["data_type"]:
+                spark.sql(f"DROP TABLE {full}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
