@@ -527,7 +527,7 @@ def documented_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def transaction_risk(spark: SparkSession, folder: str) -> DataFrame:
-    tx = sales(spark, folder, "receipt_number", "town", "vendor_id", "purchase_amount", "electricity_units", "outstanding_amount")
+    tx = sales(spark, folder, "receipt_number", *schemas.SCORING_RECORD.names)
     records = tx.withColumns(
         {"purchase_amount": F.col("purchase_amount") / 10, "outstanding_amount": F.col("outstanding_amount") * 6}
     )

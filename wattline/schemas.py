@@ -18,6 +18,9 @@ def _struct(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
+# Fixed by the contract, from here to the end: names, types and their order are the layouts that tables, messages and
+# requests come in and go out with.
+
 # The canonical transaction: what every operator below silver reads.
 TRANSACTION = _struct(
     """
