@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.llm.common import list_values, sorted_groups
-from wattline.llm.components import components
+from wattline.llm.components import components, spanning
 from wattline.session import materialize
 
 THRESHOLD = 0.98
@@ -60,20 +60,6 @@ def _codes(bits: int, tables: int, seed: int) -> Callable:
     return run
 
 
-def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """The smallest place each of n places reaches over the pairs (a, b)."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 def _links(threshold: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ["bucket", "at", "left", "right"]):
@@ -101,7 +87,7 @@ def _links(threshold: float) -> Callable:
                 continue
             links = np.bincount(i, copies[j], n) + np.bincount(j, copies[i], n)
             linked = np.flatnonzero(links)
-            root = rep[_forest(i, j, n)]
+            root = rep[spanning(i, j, n)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rep[linked]), pa.array(links[linked].astype(np.int64)), pa.array(root[linked])],
                 ["rep", "links", "root"],
