@@ -5,7 +5,9 @@ Three kinds follow patterns: values assigned to telling names, access keys and l
 class, hexadecimal or base64, with its alphabet, window and least entropy. A window slides over it; the counts of the
 alphabet's characters change by one that enters and one that leaves, and with them the sum of c * log2(c), kept in whole
 millionths so that nothing drifts. Windows above the class's entropy that overlap form one span. Candidates on the allow
-list, such as UUIDs, runs of letters only or of digits only, and placeholders, are passed over.
+list, such as UUIDs, runs of letters only or of digits only, and placeholders, are passed over. In a candidate shaped like
+a path or a joined name only windows that touch a part between separators with letters and digits count; within a
+hexadecimal part the entropy of that class is enough.
 
 All of it is DataFrame expressions. Places are code points, ends exclusive. A missing or empty text has no spans. Rows are
 looked at one by one, so repeated rows give repeated results.
@@ -35,9 +37,13 @@ ALLOWED = (
     r"^[A-Za-z+/_=-]+$",
     r"^[0-9+/_=-]+$",
     r"(?i)example|sample|dummy|placeholder|test|xxxx|1234567890|abcdefgh",
-    r"^([A-Za-z]+[/_-])+[A-Za-z0-9]*$",
-    r"^([A-Za-z0-9]{1,15}[/_-])+[A-Za-z0-9]{0,15}$",
 )
+#: Paths and joined names, and tokens behind a prefix or with separators of their own; told apart by their parts.
+PATHS = (r"^([A-Za-z]+[/_-])+[A-Za-z0-9]*$", r"^([A-Za-z0-9]{1,15}[/_-])+[A-Za-z0-9]{0,15}$")
+SEPARATOR = r"[+/_=-]"
+#: A UUID as some parts of a candidate, and letters that stand for it when parts are looked at.
+_UUID = r"(?<![A-Za-z0-9])" + ALLOWED[0][1:-1] + r"(?![A-Za-z0-9])"
+_UUID_LETTERS = "aaaaaaaa-aaaa-aaaa-aaaa-aaaaaaaaaaaa"
 
 
 class CharacterClass(NamedTuple):
@@ -95,7 +101,26 @@ def base_spans(text: Column, number: int) -> Column:
     return F.transform(kept, lambda m: F.struct(m["start"].alias("start"), F.lit(number).alias("kind"), m["end"].alias("end")))
 
 
-def _even_windows(text: Column, kind: CharacterClass) -> Column:
+def _any(text: Column, patterns: tuple[str, ...]) -> Column:
+    first, *more = [text.rlike(pattern) for pattern in patterns]
+    for one in more:
+        first = first | one
+    return first
+
+
+def _mask(text: Column) -> Column:
+    """A sign for each character of a candidate: `#`, or `h` in hexadecimal parts, in what makes a window count; else `.`."""
+
+    def sign(part: Column) -> Column:
+        mixed = part.rlike("[0-9]") & part.rlike("[A-Za-z]")
+        return F.when(mixed & part.rlike(CLASSES[0].pattern), "h").when(mixed, "#").otherwise(".")
+
+    parts = F.split(F.regexp_replace(text, _UUID, _UUID_LETTERS), SEPARATOR, -1)
+    mask = F.array_join(F.transform(parts, lambda p: F.repeat(sign(p), F.length(p))), ".")
+    return F.when(_any(text, PATHS), mask).otherwise(F.translate(mask, ".h", "##"))
+
+
+def _even_windows(text: Column, mask: Column, kind: CharacterClass) -> Column:
     """(start, end) within `text`, a string over the class's alphabet, of stretches covered by windows of high entropy."""
     terms, limit = F.array(*[F.lit(t).cast("long") for t in TERMS]), most_even(kind.bits)
     term = lambda count: F.element_at(terms, count + 1)
@@ -117,7 +142,9 @@ def _even_windows(text: Column, kind: CharacterClass) -> Column:
             F.when(last["end"] >= start, F.slice(spans, 1, F.size(spans) - 1)).otherwise(spans),
             F.array(F.struct(F.when(last["end"] >= start, last["start"]).otherwise(start).alias("start"), i.alias("end"))),
         )
-        hit = (i >= WINDOW) & (total <= limit)
+        signs = mask.substr(start + 1, F.lit(WINDOW))
+        enough = ((total <= limit) & signs.rlike("[#h]")) | (signs == "h" * WINDOW)
+        hit = (i >= WINDOW) & (total <= most_even(CLASSES[0].bits)) & enough
         return F.struct(counts.alias("counts"), total.alias("total"), F.when(hit, joined).otherwise(spans).alias("spans"))
 
     start = F.struct(
@@ -131,25 +158,22 @@ def _even_windows(text: Column, kind: CharacterClass) -> Column:
 def entropy_spans(text: Column) -> Column:
     """(start, number, end) of the stretches of high entropy in candidates that are not on the allow list."""
 
-    def open_to(candidate: Column) -> Column:
-        allowed = [candidate.rlike(pattern) for pattern in ALLOWED]
-        some = allowed[0]
-        for a in allowed[1:]:
-            some = some | a
-        return ~some
-
     def of(candidate: Column) -> Column:
         *special, last = CLASSES
-        spans = _even_windows(candidate["text"], last)
+        text, mask = candidate["text"], candidate["mask"]
+        spans = _even_windows(text, mask, last)
         for kind in special:
-            spans = F.when(candidate["text"].rlike(kind.pattern), _even_windows(candidate["text"], kind)).otherwise(spans)
+            spans = F.when(text.rlike(kind.pattern), _even_windows(text, mask, kind)).otherwise(spans)
         shift = candidate["start"]
         return F.transform(
             spans,
             lambda s: F.struct((s["start"] + shift).alias("start"), F.lit(len(BASE)).alias("kind"), (s["end"] + shift).alias("end")),
         )
 
-    return F.flatten(F.transform(F.filter(matches(text, CANDIDATE), lambda m: open_to(m["text"])), of))
+    kept = F.filter(matches(text, CANDIDATE), lambda m: ~_any(m["text"], ALLOWED))
+    # Masks are made once for each candidate and not for each of its windows.
+    masked = F.transform(kept, lambda m: F.struct(m["start"].alias("start"), m["text"].alias("text"), _mask(m["text"]).alias("mask")))
+    return F.flatten(F.transform(masked, of))
 
 
 def spans(text: Column) -> Column:
