@@ -5,9 +5,10 @@ Three kinds follow patterns: values assigned to telling names, access keys and l
 class, hexadecimal or base64, with its alphabet, window and least entropy. A window slides over it; the counts of the
 alphabet's characters change by one that enters and one that leaves, and with them the sum of c * log2(c), kept in whole
 millionths so that nothing drifts. Windows above the class's entropy that overlap form one span. Candidates on the allow
-list, such as UUIDs, runs of letters only or of digits only, and placeholders, are passed over. In a candidate shaped like
+list, such as UUIDs and runs of letters only or of digits only, are passed over. In a candidate shaped like
 a path or a joined name only windows that touch a part between separators with letters and digits count; within a
-hexadecimal part the entropy of that class is enough.
+hexadecimal part the entropy of that class is enough. Windows that touch a placeholder word do not count, nor those that
+touch the plain words and numbers joined to one; what stands behind or before these is looked at as usual.
 
 All of it is DataFrame expressions. Places are code points, ends exclusive. A missing or empty text has no spans. Rows are
 looked at one by one, so repeated rows give repeated results.
@@ -36,11 +37,11 @@ ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^[A-Za-z+/_=-]+$",
     r"^[0-9+/_=-]+$",
-    r"(?i)example|sample|dummy|placeholder|test|xxxx|1234567890|abcdefgh",
 )
 #: Paths and joined names, and tokens behind a prefix or with separators of their own; told apart by their parts.
 PATHS = (r"^([A-Za-z]+[/_-])+[A-Za-z0-9]*$", r"^([A-Za-z0-9]{1,15}[/_-])+[A-Za-z0-9]{0,15}$")
 SEPARATOR = r"[+/_=-]"
+PLACEHOLDERS = ("example", "sample", "dummy", "placeholder", "test", "xxxx", "1234567890", "abcdefgh")
 #: A UUID as some parts of a candidate, and letters that stand for it when parts are looked at.
 _UUID = r"(?<![A-Za-z0-9])" + ALLOWED[0][1:-1] + r"(?![A-Za-z0-9])"
 _UUID_LETTERS = "aaaaaaaa-aaaa-aaaa-aaaa-aaaaaaaaaaaa"
@@ -109,14 +110,22 @@ def _any(text: Column, patterns: tuple[str, ...]) -> Column:
 
 
 def _mask(text: Column) -> Column:
-    """A sign for each character of a candidate: `#`, or `h` in hexadecimal parts, in what makes a window count; else `.`."""
+    """A sign for each character of a candidate.
+
+    `#`, or `h` in hexadecimal parts, stands in what makes a window count, `!` in what keeps it from counting, `.` elsewhere.
+    """
 
     def sign(part: Column) -> Column:
         mixed = part.rlike("[0-9]") & part.rlike("[A-Za-z]")
         return F.when(mixed & part.rlike(CLASSES[0].pattern), "h").when(mixed, "#").otherwise(".")
 
-    parts = F.split(F.regexp_replace(text, _UUID, _UUID_LETTERS), SEPARATOR, -1)
-    mask = F.array_join(F.transform(parts, lambda p: F.repeat(sign(p), F.length(p))), ".")
+    marked = F.regexp_replace(text, _UUID, _UUID_LETTERS)
+    for word in PLACEHOLDERS:
+        marked = F.regexp_replace(marked, f"(?i){word}", "!" * len(word))
+    mask = F.array_join(F.transform(F.split(marked, SEPARATOR, -1), lambda p: F.regexp_replace(p, "[^!]", sign(p))), ".")
+    # A placeholder takes along the plain parts around it, up to the next part with letters and digits.
+    runs = F.regexp_extract_all(mask, F.lit("[.!]+|[^.!]+"), F.lit(0))
+    mask = F.array_join(F.transform(runs, lambda r: F.when(F.contains(r, F.lit("!")), F.translate(r, ".", "!")).otherwise(r)), "")
     return F.when(_any(text, PATHS), mask).otherwise(F.translate(mask, ".h", "##"))
 
 
@@ -144,7 +153,7 @@ def _even_windows(text: Column, mask: Column, kind: CharacterClass) -> Column:
         )
         signs = mask.substr(start + 1, F.lit(WINDOW))
         enough = ((total <= limit) & signs.rlike("[#h]")) | (signs == "h" * WINDOW)
-        hit = (i >= WINDOW) & (total <= most_even(CLASSES[0].bits)) & enough
+        hit = (i >= WINDOW) & (total <= most_even(CLASSES[0].bits)) & enough & ~F.contains(signs, F.lit("!"))
         return F.struct(counts.alias("counts"), total.alias("total"), F.when(hit, joined).otherwise(spans).alias("spans"))
 
     start = F.struct(
