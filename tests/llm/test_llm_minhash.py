@@ -66,6 +66,19 @@ def test_awkward_rows(spark):
     assert minhash.drop_near_duplicates(nothing(spark)).count() == 0
 
 
+def test_repeated_ids_of_different_texts_lose_no_text(spark):
+    draw = random.Random(12)
+    a, b, c, d = ([f"w{draw.randrange(10**6)}" for _ in range(80)] for _ in range(4))
+    rows = [(3, b), (5, a), (5, b), (7, a), (8, c), (9, changed(draw, c, 1)), (9, d), (11, d)]
+    texts = [(i, " ".join(t)) for i, t in rows]
+    docs = documents(spark, [(i, t, "a") for i, t in texts])
+    kept = sorted((r.doc_id, r.text) for r in minhash.drop_near_duplicates(docs).collect())
+    assert kept == sorted(texts[k] for k in (0, 1, 4, 6))
+    assert sorted((r.doc_id, r.component_id) for r in minhash.near_duplicates(docs).collect()) == [
+        (3, 3), (5, 3), (5, 5), (7, 5), (8, 8), (9, 8), (9, 9), (11, 9),
+    ]
+
+
 def test_tables_come_from_few_values():
     signer = minhash.Signer()
     assert len(signer.flips) == 2 * minhash.SIDE * minhash.ROWS < minhash.SIDE**2

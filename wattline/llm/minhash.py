@@ -6,7 +6,7 @@ tables as SIDE * SIDE * 2 * ROWS values would otherwise. A document needs the ke
 it shares with some other document; most documents share none and put nothing into tables.
 
 Documents with equal shingle sets are one class, represented by its smallest doc_id. In a bucket every class is first
-compared with one hub, the smallest doc_id, then with the class that has most links so far. Thousands of copies of one text
+compared with one hub, the one of lowest number, then with the class that has most links so far. Thousands of copies of one text
 so need one comparison each. What shares a bucket and is still in different components goes through an exact filter on
 rarest shingles; the groups it leaves are compared in blocks, so that pairs never leave a task. A pair is a link if 100 * intersection >= 75 * union of the
 whole sets. At a similarity of exactly 0.75 a pair meets in no table with a probability of 3 in 10,000, at 0.8 of 1 in
@@ -14,7 +14,8 @@ whole sets. At a similarity of exactly 0.75 a pair meets in no table with a prob
 
 Words are runs of characters other than white space, A-Z lower-cased. The set holds the distinct runs of five words as
 64-bit hashes; a text of fewer words has itself as the one member, a missing or blank text none, and links with nothing.
-A row without doc_id links with nothing and is kept. Rows that share a doc_id are one document in the graph.
+A row without doc_id links with nothing and is kept. The graph's nodes are classes, numbered apart from the ids: rows that
+share a doc_id and differ in their sets are told apart, and each stays or goes with its own class.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wattline.llm.common import byte_texts, list_values, slices, sorted_groups
+from wattline.llm.common import as_row, byte_texts, field, list_values, slices, sorted_groups
 from wattline.llm.components import components, spanning
 from wattline.llm.perfect_hash import mix64
 from wattline.session import materialize
@@ -105,12 +106,13 @@ def _sign(words: int, side: int, rows: int) -> Callable:
                 signed = [signer(s) if len(s) else None for s in sets]
                 columns = [
                     part.column("doc_id"),
+                    part.column("tie"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(halves[:, 0]),
                     pa.array(halves[:, 1]),
                     pa.array(signed, pa.list_(pa.int64())),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "set1", "set2", "hashes"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tie", "n", "set1", "set2", "hashes"])
 
     return run
 
@@ -121,7 +123,7 @@ def _sets(words: int) -> Callable:
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 sets = [s.view(np.int64) for s in shingler(byte_texts(part.column("text")))]
-                arrays = [part.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))]
+                arrays = [part.column("rep"), pa.array(sets, pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(arrays, ["rep", "shingles"])
 
     return run
@@ -251,39 +253,50 @@ def _roots(members: DataFrame, sets: DataFrame) -> DataFrame:
     return roots
 
 
-def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, side: int = SIDE, rows: int = ROWS
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row; component_id is the smallest doc_id reached by links."""
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+def _decided(docs: DataFrame, doc_id: str, text: str, words: int, side: int, rows: int) -> DataFrame:
+    """(doc_id, tie, n_shingles, component_id, kept) for every row; `tie` is a hash of the text."""
+    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("tie"))
     signed = narrow.mapInArrow(
-        _sign(words, side, rows), "doc_id long, n long, set1 long, set2 long, hashes array<long>"
+        _sign(words, side, rows), "doc_id long, tie long, n long, set1 long, set2 long, hashes array<long>"
     )
     signed = materialize(signed, "signatures")
     classes = (
         signed.where("n > 0 and doc_id is not null")
         .groupBy("set1", "set2")
-        .agg(F.min("doc_id").alias("rep"), F.any_value("n").alias("n"), F.any_value("hashes").alias("hashes"))
+        .agg(F.min(F.struct("doc_id", "tie")).alias("first"), F.any_value("n").alias("n"), F.any_value("hashes").alias("hashes"))
+        .select("set1", "set2", "first.doc_id", "first.tie", "n", "hashes", F.monotonically_increasing_id().alias("rep"))
     )
     classes = materialize(classes, "set-classes")
     members = _members(classes, side)
-    involved = members.select(F.col("rep").alias("doc_id")).distinct()
-    sets = narrow.join(involved, "doc_id", "left_semi").mapInArrow(_sets(words), "rep long, shingles array<long>")
-    roots = _roots(members, materialize(sets, "shingle-sets"))
-    about = classes.select("set1", "set2", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    about = materialize(about.select("set1", "set2", F.coalesce("root", "rep").alias("component")), "set-components")
+    involved = classes.join(members.select("rep").distinct(), "rep").select("doc_id", "tie", "rep")
+    sets = narrow.join(involved, ["doc_id", "tie"]).select("rep", "text").mapInArrow(_sets(words), "rep long, shingles array<long>")
+    roots = materialize(_roots(members, materialize(sets, "shingle-sets")), "class-roots")
+    linked = materialize(roots.join(classes.select(F.col("rep").alias("node"), "doc_id"), "node"), "linked-classes")
+    least = materialize(linked.groupBy("root").agg(F.min("doc_id").alias("component")), "component-names")
+    named = linked.join(least, "root").select(F.col("node").alias("rep"), "component")
+    about = classes.select("set1", "set2", "doc_id", "rep").join(named, "rep", "left")
+    about = materialize(about.select("set1", "set2", F.coalesce("component", "doc_id").alias("component")), "set-components")
     component = F.when(F.col("n") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
     found = signed.drop("hashes").join(about, ["set1", "set2"], "left").withColumn("component_id", component)
     return found.select(
         "doc_id",
+        "tie",
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
         F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
 
 
+def near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, side: int = SIDE, rows: int = ROWS
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row; component_id is the smallest doc_id reached by links."""
+    return _decided(docs, doc_id, text, words, side, rows).drop("tie")
+
+
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` that stay: of each component the one document with the smallest doc_id."""
-    gone = materialize(near_duplicates(docs, doc_id, text), "near-duplicates").where("not kept")
-    ids = gone.select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(ids, doc_id, "left_anti")
+    """The rows of `docs` that stay: of each component those with the smallest doc_id."""
+    decided = materialize(_decided(docs, doc_id, text, WORDS, SIDE, ROWS), "near-duplicates")
+    gone = decided.where("not kept").select("doc_id", "tie").distinct()
+    same = (field(doc_id).cast("long") == F.col("doc_id")) & (F.xxhash64(field(text)) == F.col("tie"))
+    return as_row(docs).join(gone, same, "left_anti").select("row.*")
