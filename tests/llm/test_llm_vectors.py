@@ -83,6 +83,29 @@ def test_recall_and_savings_of_a_larger_factor():
     assert looked[1.5] < looked[1.0] < 200 * 4000 and recall >= 0.9
 
 
+def test_copies_of_double_vectors_stay_exact(monkeypatch):
+    monkeypatch.setattr(vp_tree, "LEAF", 8)
+    wrong = []
+    for seed in range(40):
+        rng = np.random.default_rng(seed)
+        points = rng.standard_normal((900, 16))
+        points /= np.linalg.norm(points, axis=1)[:, None]
+        points[rng.permutation(900)[:300]] = points[0]
+        part = __import__("pandas").DataFrame({"shard": 0, "dim": 16, "vec_id": np.arange(900), "vector": list(points)})
+        tree = vp_tree._build(part.assign(longest=float((points**2).sum(axis=1).max())))
+        arrays = tree["vec_id"].to_numpy(), np.stack(tree["vector"]), tree["gap"].to_numpy(), np.stack(tree["bounds"])
+        asked = np.flatnonzero((points == points[0]).all(axis=1))[::30]
+        asked = np.concatenate([asked, np.arange(1, 900, 90)])
+        found = vp_tree._Search(*arrays, points[asked], asked, 20, 1.0).found
+        scores = np.zeros((len(asked), 900))
+        for a, b in zip(points[asked].T, points.T, strict=True):
+            scores += a[:, None] * b
+        scores[np.arange(len(asked)), asked] = -np.inf
+        if (found != np.argsort(-scores, axis=1, kind="stable")[:, :20]).any():
+            wrong.append(seed)
+    assert not wrong
+
+
 def test_search_of_awkward_rows(spark):
     found = vp_tree.search(vp_tree.build(vectors(spark, BAD)), vectors(spark, [r for r in BAD if r[0] is not None and r[0] % 20 == 0]))
     assert {(r.query_id, r.vec_id, r.score) for r in found.collect()} == {(q, i, s) for q, _, i, s in nearest(BAD, 20)}

@@ -34,7 +34,7 @@ FACTOR = 1.0
 SHARD_ROWS = 8192
 QUERY_ROWS = 2048
 LEAF = 128
-#: Relative slack for the rounding of distances, so that a factor of 1 stays exact.
+#: Slack for the rounding of stored distances, relative to the longest ones, so that a factor of 1 stays exact.
 SLACK = 1e-9
 
 
@@ -80,6 +80,8 @@ class _Search:
         self.scores, self.found = np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max)
         # |q - x|^2 = |q|^2 + longest - 2 q x
         self.base = (queries**2).sum(axis=1) + (self.points[0] ** 2).sum()
+        # Bound of the rounding of such a squared distance; near 0 its root would be far less exact.
+        self.blur = 4 * (rows.shape[1] + 8) * np.finfo(np.float64).eps * self.base
         self._walk(0, len(ids), np.arange(n))
 
     def _products(self, who: np.ndarray, lo: int, hi: int) -> np.ndarray:
@@ -106,14 +108,15 @@ class _Search:
             self._take(who, lo, hi)
             return
         self._take(who, lo, lo + 1)
-        far = np.sqrt(np.maximum(self.base[who] - 2 * (self.queries[who] @ self.rows[lo]), 0))
+        square, blur = self.base[who] - 2 * (self.queries[who] @ self.rows[lo]), self.blur[who]
+        low, high = np.sqrt(np.maximum(square - blur, 0)), np.sqrt(np.maximum(square + blur, 0))
         near_lo, near_hi, far_lo, far_hi = self.bounds[lo]
         middle = lo + 1 + (hi - lo - 1) // 2
-        halves = [(lo + 1, middle, np.maximum(near_lo - far, far - near_hi)), (middle, hi, np.maximum(far_lo - far, far - far_hi))]
+        halves = [(lo + 1, middle, np.maximum(near_lo - high, low - near_hi)), (middle, hi, np.maximum(far_lo - high, low - far_hi))]
         first_near = (halves[0][2] <= halves[1][2]).sum() * 2 >= len(who)
         for a, b, least in halves if first_near else halves[::-1]:
-            worst = np.sqrt(np.maximum(self.base[who] - 2 * self.scores[who, -1], 0))
-            stay = who[least * self.factor <= worst * (1 + SLACK) + SLACK]
+            worst = np.sqrt(np.maximum(self.base[who] - 2 * self.scores[who, -1] + blur, 0))
+            stay = who[least * self.factor <= worst * (1 + SLACK) + SLACK * np.sqrt(self.base[who])]
             if len(stay):
                 self._walk(a, b, stay)
 
