@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import hyperplanes, lines, minhash, mixing, pieces, quality, secrets, token_files, vp_tree, warc_zip
+from wattline.llm import (
+    alignment,
+    hyperplanes,
+    language,
+    lines,
+    minhash,
+    mixing,
+    pieces,
+    quality,
+    secrets,
+    spelling,
+    token_files,
+    vp_tree,
+    warc_zip,
+)
 from wattline.llm.common import table
 from wattline.session import materialize
 
@@ -255,6 +269,72 @@ select vec_id, coalesce(links, 0)::bigint as n_links, coalesce(root, vec_id) as
 from embeddings left join n on n.a = vec_id left join c on c.node = vec_id
 """
 
+
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
+    found = docs.select("doc_id", language.with_language(docs, model, F.col("text")).alias("found"))
+    return found.select(
+        "doc_id",
+        language.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("found.lang").alias("lang_pred"),
+        F.col("found.score").alias("score"),
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents, the form it most likely means, and the end of its chain of forms."""
+    runs = spelling.runs(table(spark, sf_dir, "documents"), least=spelling.LEAST_LETTERS)
+    words = runs.select(spelling.with_slips(F.col("doc_id"), F.col("run"), 97).alias("word"))
+    return spelling.variants(materialize(spelling.vocabulary(words), "vocabulary"))
+
+
+OP12_SQL = r"""
+with recursive t as (
+  select list(list_reduce(list_prepend(i, range(8)), lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) order by i) as crc
+  from range(256) as r(i)),
+r as (
+  select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+  from documents),
+d as (select doc_id, run, count(*) as n from r where length(run) >= 5 group by all),
+b as (
+  select *, flatten(list_transform(string_split(coalesce(doc_id::varchar, '') || ':' || run, ''),
+    lambda c: case when unicode(c) < 128 then [unicode(c)] else [195, unicode(c) - 64] end))::bigint[] as bytes
+  from d),
+h as (
+  select run, n, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(c // 256, crc[xor(c, x) % 256 + 1])), 4294967295) as h
+  from b, t),
+s as (
+  select case when h % 97 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, n from h),
+w as (select word, sum(n)::bigint as n from s where length(word) >= 5 group by word having sum(n) >= 3),
+c as (select word, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest from (select word, unnest(range(1, length(word) + 1)) as i from w)),
+p as (
+  select a.word, b.word as near from c a join c b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+  union select c.word, w.word from c join w on c.rest = w.word
+  union select w.word, c.word from c join w on c.rest = w.word),
+g as (
+  select p.word, count(*)::bigint as n_near, min(struct_pack(less := -w.n, near := p.near)) as best
+  from p join w on w.word = p.near group by p.word),
+f as (
+  select w.word, w.n, coalesce(n_near, 0)::bigint as n_near,
+    case when -best.less >= 2 * w.n then best.near end as form, case when -best.less >= 2 * w.n then -best.less end as form_n
+  from w left join g using (word)),
+x as (
+  select word, word as root, 0 as steps from f union all select x.word, f.form, steps + 1 from x join f on f.word = x.root where f.form is not null),
+e as (select word, arg_max(root, steps) as root from x group by word)
+select word, form, root, n, n_near, form_n::bigint as form_n from f join e using (word)
+"""
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of every document's tokens under two vocabularies."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align_documents(docs, *paths, digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_warc_packages": op2_warc_packages,
@@ -266,6 +346,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_near_documents": op9_near_documents,
     "op10_near_vectors": op10_near_vectors,
+    "op11_language": op11_language,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_token_alignment": op13_token_alignment,
 }
 ORACLES = {
     "op1_mix_sources": OP1_SQL,
@@ -275,4 +358,5 @@ ORACLES = {
     "op5_line_dedup": OP5_SQL,
     "op9_near_documents": OP9_SQL,
     "op10_near_vectors": OP10_SQL,
+    "op12_spelling_variants": OP12_SQL,
 }
