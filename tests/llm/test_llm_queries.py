@@ -12,5 +12,11 @@ def test_equals_sql(spark, small, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
-    assert set(QUERIES) - set(ORACLES) == {"op6_sentence_pieces", "op7_token_files", "op8_quality"}
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
+    assert set(QUERIES) - set(ORACLES) == {
+        "op6_sentence_pieces",
+        "op7_token_files",
+        "op8_quality",
+        "op11_language",
+        "op13_token_alignment",
+    }
