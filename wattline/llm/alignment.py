@@ -6,7 +6,7 @@ linked with every token of the other.
 
 A text begins with the space that one tokenizer is given and the other adds by itself. It falls apart into stretches that
 begin with a single space between two visible characters; no token of either vocabulary reaches across such a place (`Aligner`
-makes sure of it), so both end there and the groups of the stretches side by side are those of the text. The groups of a
+makes sure of it), so both end there, and the groups of the stretches side by side are those of the text. The groups of a
 stretch are remembered, in each worker process, which changes no result.
 
 How many documents hold an id pair linked is counted over all documents. Documents go to parts of bounded size; a part's distinct
@@ -23,7 +23,6 @@ import hashlib
 import os
 import re
 from collections.abc import Callable, Iterator
-from itertools import chain, islice, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -63,20 +62,12 @@ def byte_signs() -> dict[str, int]:
     return {chr(b): b for b in seen} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
-def cuts(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int]]:
-    """(tokens of a, tokens of b) up to each place where tokens of both end, in ascending order."""
-    at_a = {end: i for i, end in enumerate(ends_a, 1)}
-    at_b = {end: i for i, end in enumerate(ends_b, 1)}
-    return [(at_a[end], at_b[end]) for end in sorted(at_a.keys() & at_b.keys())]
-
-
-def groups(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]) -> list[tuple[list[int], list[int]]]:
-    """The ids of both sides between neighbouring common ends."""
-    out, i, j = [], 0, 0
-    for k, m in cuts(ends_a, ends_b):
-        out.append((a[i:k], b[j:m]))
-        i, j = k, m
-    return out
+def cuts(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
+    """Tokens of a, and tokens of b, up to each place where tokens of both end, in ascending order."""
+    at_a = dict(zip(ends_a, range(1, len(ends_a) + 1), strict=True))
+    at_b = dict(zip(ends_b, range(1, len(ends_b) + 1), strict=True))
+    common = sorted(at_a.keys() & at_b.keys())
+    return [at_a[end] for end in common], [at_b[end] for end in common]
 
 
 def links(found: list[tuple[list[int], list[int]]], shift: int) -> tuple[np.ndarray, np.ndarray]:
@@ -105,15 +96,12 @@ def added(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Stretch(NamedTuple):
-    """What a stretch of text adds to its document: `keys` are int64 pairs, `times` their occurrences if not one each.
-
-    `listed` is None where the tokens do not spell the stretch.
-    """
+    """What a stretch of text adds to its document: `keys` are int64 pairs, `times` their occurrences if not one each."""
 
     n_a: int
     n_b: int
     n_groups: int
-    listed: str | None
+    groups: str
     keys: bytes
     times: bytes
 
@@ -142,7 +130,8 @@ class Aligner:
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         signs = byte_signs()
         vocabulary = self.a.get_vocab(with_added_tokens=False)
-        self.bytes_a = {i: bytes(signs[c] for c in token) for token, i in vocabulary.items() if all(c in signs for c in token)}
+        spelled = {i: bytes(signs[c] for c in token) for token, i in vocabulary.items() if all(c in signs for c in token)}
+        self.bytes_a = [spelled.get(i, b"") for i in range(self.a.get_vocab_size())]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         control = [self.b.is_control(i) or self.b.is_unknown(i) for i in range(len(pieces))]
         self.bytes_b = [
@@ -151,75 +140,70 @@ class Aligner:
         ]
         self.shift = max(1, (len(pieces) - 1).bit_length())
         # With a token that reaches across, texts are taken whole.
-        self.apart = not any(_ACROSS.search(t.decode("utf-8", "replace")) for t in (*self.bytes_a.values(), *self.bytes_b))
-        self.length_a = np.zeros(max(self.bytes_a) + 1, np.int64)
-        self.length_a[list(self.bytes_a)] = [len(t) for t in self.bytes_a.values()]
-        self.length_b = np.array([len(t) for t in self.bytes_b])
-        self.known: dict[str, Stretch] = {}
+        self.apart = not any(_ACROSS.search(t.decode("utf-8", "replace")) for t in (*self.bytes_a, *self.bytes_b))
+        self.length_a, self.length_b = (np.array([len(t) for t in v], np.int64) for v in (self.bytes_a, self.bytes_b))
+        self.names = [str(i) for i in range(max(len(self.bytes_a), len(pieces)))]
+        #: None for a stretch that its tokens do not spell.
+        self.known: dict[str, Stretch | None] = {}
+        #: Those met again since the others were last forgotten.
+        self.again: set[str] = set()
 
     def stretches(self, text: str) -> list[str]:
         """The text without its first space, cut at spaces that begin a stretch; these are not in the result."""
         return _APART.split(text) if self.apart else [text]
 
-    def _alone(self, part: str, a: list[int], b: list[int]) -> Stretch:
-        """One stretch of any kind."""
-        bytes_a, bytes_b = [self.bytes_a.get(i, b"") for i in a], [self.bytes_b[i] for i in b]
-        if not b"".join(bytes_a) == b" " + part.encode() == b"".join(bytes_b):
-            return Stretch(0, 0, 0, None, b"", b"")
-        ends_a, ends_b = (np.cumsum([len(t) for t in s], dtype=np.int64).tolist() for s in (bytes_a, bytes_b))
-        found = groups(a, b, ends_a, ends_b)
-        keys, times = links(found, self.shift)
-        listed = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in found)
-        return Stretch(len(a), len(b), len(found), listed, keys.tobytes(), times.tobytes())
-
-    def _together(self, coded_a: list[list[int]], coded_b: list[list[int]]) -> list[Stretch | None]:
-        """Stretches that their tokens spell, one behind the other as one text; None for those with a long group."""
-        sizes_a, sizes_b = (np.array([len(x) for x in c]) for c in (coded_a, coded_b))
-        a, b = (np.fromiter(chain.from_iterable(c), np.int64) for c in (coded_a, coded_b))
-        cut = np.array(cuts(np.cumsum(self.length_a[a]).tolist(), np.cumsum(self.length_b[b]).tolist()))
-        first = np.concatenate([[[0, 0]], cut[:-1]])
-        (na, nb), (a0, b0) = (cut - first).T, first.T
-        last = np.searchsorted(cut[:, 0], np.cumsum(sizes_a), "right")
-        many = na * nb
-        plain = np.where(many > LARGE, 0, many)
-        before = np.concatenate([[0], np.cumsum(plain)])
-        owner = np.repeat(np.arange(len(cut)), plain)
+    def _learn(self, parts: list[str]) -> bool:
+        """Remembers stretches, encoded as one text; says no if its tokens do not spell it and end with the stretches."""
+        line = " ".join(parts)
+        a = np.array(self.a.encode_batch_fast([" " + line], add_special_tokens=False)[0].ids, np.int64)
+        b = np.array(self.b.encode(line), np.int64)
+        text = (" " + line).encode()
+        for ids, tokens in ((a, self.bytes_a), (b, self.bytes_b)):
+            if b"".join(map(tokens.__getitem__, ids.tolist())) != text:
+                return False
+        upto_a, upto_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        cut_a, cut_b = (np.array(c, np.int64) for c in cuts(upto_a.tolist(), upto_b.tolist()))
+        ends = np.cumsum([len(p.encode()) + 1 for p in parts])
+        bounds = upto_a[cut_a - 1]
+        last = np.searchsorted(bounds, ends)
+        if (bounds[np.minimum(last, len(bounds) - 1)] != ends).any():
+            return False
+        a0, b0 = np.append(0, cut_a[:-1]), np.append(0, cut_b[:-1])
+        nb = cut_b - b0
+        # Links of long groups are counted by distinct ids, and apart.
+        many = (cut_a - a0) * nb
+        before = np.append(0, np.cumsum(np.where(many > LARGE, 0, many)))
+        owner = np.repeat(np.arange(len(many)), np.diff(before))
         k = np.arange(before[-1]) - before[owner]
         keys = (a[a0[owner] + k // nb[owner]] << self.shift | b[b0[owner] + k % nb[owner]]).tobytes()
-        signs_a, signs_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        names = self.names.__getitem__
+        names_a, names_b = list(map(names, a.tolist())), list(map(names, b.tolist()))
         listed = [
-            ",".join(signs_a[i:k]) + "|" + ",".join(signs_b[j:m])
-            for (i, j), (k, m) in zip(first.tolist(), cut.tolist(), strict=True)
+            names_a[i] + "|" + names_b[j] if one == 1 else ",".join(names_a[i:k]) + "|" + ",".join(names_b[j:m])
+            for i, j, k, m, one in zip(*(c.tolist() for c in (a0, b0, cut_a, cut_b, many)), strict=True)
         ]
-        long = np.concatenate([[0], np.cumsum(many > LARGE)])
-        out, start = [], 0
-        bounds = before.tolist()
-        for n_a, n_b, end in zip(sizes_a.tolist(), sizes_b.tolist(), last.tolist(), strict=True):
-            own = None
-            if long[start] == long[end]:
-                own = Stretch(n_a, n_b, end - start, ";".join(listed[start:end]), keys[8 * bounds[start] : 8 * bounds[end]], b"")
-            out.append(own)
-            start = end
-        return out
-
-    def learn(self, parts: list[str]) -> None:
-        """Remembers what stretches add to their documents."""
-        coded_a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)]
-        coded_b = self.b.encode(parts, num_threads=1)
-        size = [len(p.encode()) + 1 for p in parts]
-        own_a, own_b = (
-            np.add.reduceat(length[np.fromiter(chain.from_iterable(c), np.int64)], np.cumsum([0, *map(len, c[:-1])]))
-            for length, c in ((self.length_a, coded_a), (self.length_b, coded_b))
-        )
-        text = b" " + b" ".join(p.encode() for p in parts)
-        spelled_a = b"".join(map(self.bytes_a.get, chain.from_iterable(coded_a), repeat(b"")))
-        spelled_b = b"".join(map(self.bytes_b.__getitem__, chain.from_iterable(coded_b)))
-        if spelled_a == text == spelled_b and own_a.tolist() == size == own_b.tolist():
-            found = self._together(coded_a, coded_b)
-        else:
-            found = [None] * len(parts)
-        for part, a, b, stretch in zip(parts, coded_a, coded_b, found, strict=True):
-            self.known[part] = self._alone(part, a, b) if stretch is None else stretch
+        long, group = np.flatnonzero(many > LARGE).tolist(), 0
+        at, place_a, place_b = (8 * before).tolist(), [0, *cut_a.tolist()], [0, *cut_b.tolist()]
+        for part, end in zip(parts, (last + 1).tolist(), strict=True):
+            own, times = keys[at[group] : at[end]], b""
+            apart = [(a[a0[g] : cut_a[g]].tolist(), b[b0[g] : cut_b[g]].tolist()) for g in long if group <= g < end] if long else []
+            if apart:
+                plain = np.frombuffer(own, np.int64)
+                pairs, n = (np.concatenate(c) for c in zip((plain, np.ones(len(plain), np.int64)), links(apart, self.shift), strict=True))
+                own, times = pairs.tobytes(), n.tobytes()
+            n_a, n_b = place_a[end] - place_a[group], place_b[end] - place_b[group]
+            self.known[part] = Stretch(n_a, n_b, end - group, ";".join(listed[group:end]), own, times)
+            group = end
+        return True
+
+    def learn(self, parts: list[str], together: int) -> None:
+        """Remembers the ids of stretches that may be encoded side by side, `together` at a time."""
+        for start in range(0, len(parts), together):
+            block = parts[start : start + together]
+            if not self._learn(block):
+                for part in block:
+                    if len(block) == 1 or not self._learn([part]):
+                        self.known[part] = None
 
     def align(self, text: str | None) -> Aligned | None:
         """What the tokens of a text have in common; None without tokens."""
@@ -227,28 +211,34 @@ class Aligner:
         return found
 
     def align_all(self, texts: list[str | None]) -> list[Aligned | None]:
-        """`align` for each text; new stretches are encoded together."""
+        """`align` for each text; what is new among them is encoded together."""
         known, cut = self.known, [self.stretches(t) if t else None for t in texts]
-        new = list({p for parts in cut if parts for p in parts}.difference(known))
-        for start in range(0, len(new), TOGETHER):
-            self.learn(new[start : start + TOGETHER])
-        out = [parts and self._document([known[p] for p in parts]) for parts in cut]
+        distinct = {p for parts in cut if parts for p in parts}
+        new = distinct.difference(known)
+        self.again |= distinct - new
+        # Only where a text begins or ends can a stretch begin or end in something unseen, which might join with a neighbour.
+        edges = {p for parts in cut if parts for p in (parts[0], parts[-1])} & new
+        self.learn(list(new - edges), TOGETHER)
+        self.learn(list(edges), 1)
+        out = [self._document([known[p] for p in parts]) if parts else None for parts in cut]
         for p in new:
             if len(p) > CACHED_CHARS:
                 del known[p]
         if len(known) > CACHE_STRETCHES:
-            for p in list(islice(known, len(known) - CACHE_STRETCHES // 2)):
-                del known[p]
+            # Most stretches never come again; those that did stay, if need be the younger ones of them.
+            kept = [p for p in known if p in self.again][-CACHE_STRETCHES // 2 :]
+            self.known, self.again = {p: known[p] for p in kept}, set()
         return out
 
-    def _document(self, found: list[Stretch]) -> Aligned | None:
-        n_a, n_b, n_groups, listed, keys, times = zip(*found, strict=True)
-        if None in listed:
+    def _document(self, found: list[Stretch | None]) -> Aligned | None:
+        """A document of stretches side by side."""
+        if None in found:
             return None
+        n_a, n_b, n_groups, listed, keys, times = zip(*found, strict=True)
         pairs = np.frombuffer(b"".join(keys), np.int64)
         if any(times):
-            ones = np.ones(1, np.int64).tobytes()
-            many = [t or ones * (len(k) // 8) for k, t in zip(keys, times, strict=True)]
+            one = np.ones(1, np.int64).tobytes()
+            many = [t or one * (len(k) // 8) for k, t in zip(keys, times, strict=True)]
             own = added(pairs, np.frombuffer(b"".join(many), np.int64))
         else:
             own = np.unique(pairs, return_counts=True)
@@ -292,7 +282,7 @@ def _batch(rows: list[tuple], layout: str) -> pa.RecordBatch:
     )
 
 
-def _aligned(path_a: str, path_b: str, digest: bool) -> Callable:
+def _aligned(path_a: str, path_b: str, digest: bool, part_bytes: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, part, size = aligner(path_a, path_b), TaskContext.get().partitionId() << 32, 0
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -305,7 +295,7 @@ def _aligned(path_a: str, path_b: str, digest: bool) -> Callable:
             for piece in slices(batch, "text", SLICE_BYTES):
                 rows, texts = [], piece.column("text").to_pylist()
                 for doc_id, text, found in zip(piece.column("doc_id").to_pylist(), texts, model.align_all(texts), strict=True):
-                    if size and size + len(text or "") > PART_BYTES:
+                    if size and size + len(text or "") > part_bytes:
                         if held:
                             rows.append(summary())
                         held, part, size = [], part + 1, 0
@@ -334,10 +324,10 @@ def _part_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def aligned(docs: DataFrame, path_a: str, path_b: str, digest: bool = False) -> DataFrame:
+def aligned(docs: DataFrame, path_a: str, path_b: str, digest: bool = False, part_bytes: int = PART_BYTES) -> DataFrame:
     """Rows of ALIGNED for `docs` (doc_id, text), to be stored; `groups` lists the groups' ids, or is the SHA-256 of that."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return narrow.mapInArrow(_aligned(path_a, path_b, digest), ALIGNED)
+    return narrow.mapInArrow(_aligned(path_a, path_b, digest, part_bytes), ALIGNED)
 
 
 def pair_counts(stored: DataFrame, shift: int) -> tuple[DataFrame, DataFrame]:
@@ -373,13 +363,15 @@ def _results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(rows, RESULT)
 
 
-def align_documents(docs: DataFrame, path_a: str, path_b: str, digest: bool = False) -> DataFrame:
+def align_documents(
+    docs: DataFrame, path_a: str, path_b: str, digest: bool = False, part_bytes: int = PART_BYTES
+) -> DataFrame:
     """RESULT for every row of `docs` (doc_id, text).
 
     `n_links` counts links between token occurrences, `n_best` those whose pair is in as many documents as any pair of its id of
     the first tokenizer, and `count_sum` adds up the documents of all links.
     """
-    stored = materialize(aligned(docs, path_a, path_b, digest), "aligned")
+    stored = materialize(aligned(docs, path_a, path_b, digest, part_bytes), "aligned")
     in_parts, totals = pair_counts(stored, aligner(path_a, path_b).shift)
     met = in_parts.join(totals, "key").select("part", "key", "n", "is_best")
     dictionaries = met.repartition("part").sortWithinPartitions("part", "key").mapInArrow(_dictionaries, ALIGNED)
