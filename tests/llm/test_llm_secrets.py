@@ -4,10 +4,14 @@ import random
 import re
 from collections import Counter
 
+import duckdb
+import pytest
+from compare import mismatch
 from llm_frames import awkward, nothing
 from pyspark.sql import functions as F
 
 from wattline.llm import secrets
+from wattline.llm.queries import ORACLES, QUERIES
 
 
 def plain(text):
@@ -19,11 +23,13 @@ def plain(text):
         word = m.group()
         if any(re.search(p, word) for p in secrets.ALLOWED):
             continue
-        kind = next(c for c in secrets.CLASSES if re.search(c.pattern, word))
+        kind, signs_of = next(c for c in secrets.CLASSES if re.search(c.pattern, word)), masked(word)
         spans = []
         for i in range(len(word) - secrets.WINDOW + 1):
-            counts = Counter(word[i : i + secrets.WINDOW]).values()
-            if -sum(c / 20 * math.log2(c / 20) for c in counts) < kind.bits:
+            counts, signs = Counter(word[i : i + secrets.WINDOW]).values(), signs_of[i : i + secrets.WINDOW]
+            bits = -sum(c / 20 * math.log2(c / 20) for c in counts)
+            even = bits >= kind.bits and set(signs) & set("#h") or bits >= 2.9 and signs == "h" * 20
+            if "!" in signs or not even:
                 continue
             if spans and spans[-1][1] >= i:
                 spans[-1][1] = i + secrets.WINDOW
@@ -38,6 +44,24 @@ def found(spark, texts):
     return [[tuple(s) for s in r.s] for r in frame.orderBy("i").collect()]
 
 
+def masked(word):
+    """The sign of each character of a candidate, character by character: what counts, what bars a window, and neither."""
+    uuid = "-".join("[0-9a-fA-F]{%d}" % n for n in (8, 4, 4, 4, 12))
+    marked = re.sub(f"(?<![A-Za-z0-9]){uuid}(?![A-Za-z0-9])", lambda m: re.sub("[^-]", "a", m.group()), word)
+    for hidden in secrets.PLACEHOLDERS:
+        marked = re.sub(hidden, "!" * len(hidden), marked, flags=re.I)
+    out = []
+    for part in re.split(r"([+/_=-])", marked):
+        mixed = re.search("[0-9]", part) and re.search("[A-Za-z]", part)
+        sign = "." if not mixed else "h" if re.fullmatch("[0-9a-fA-F]+", part) else "#"
+        out.append("".join("!" if c == "!" else sign for c in part))
+    mask = re.sub("[.!]*![.!]*", lambda m: "!" * len(m.group()), "".join(out))
+    parts = re.split("[/_-]", word)
+    letters = all(re.fullmatch("[A-Za-z]+", p) for p in parts[:-1]) and re.fullmatch("[A-Za-z0-9]*", parts[-1])
+    short = all(re.fullmatch("[A-Za-z0-9]{1,15}", p) for p in parts[:-1]) and re.fullmatch("[A-Za-z0-9]{0,15}", parts[-1])
+    return mask if len(parts) > 1 and (letters or short) else mask.replace(".", "#").replace("h", "#")
+
+
 def draw_texts():
     draw = random.Random(11)
     letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-="
@@ -52,6 +76,50 @@ def draw_texts():
     return texts
 
 
+def draw_shapes():
+    """Prefixed, base64url and placeholder candidates, paths and UUIDs among other parts."""
+    draw, texts = random.Random(12), []
+    token = lambda n: base64.urlsafe_b64encode(draw.randbytes(n)).decode().rstrip("=")
+    uuid = lambda: "-".join(draw.randbytes(n).hex() for n in (4, 2, 2, 2, 6))
+    words = ["src", "main", "Example", "contest", "sample", "xxxx", "readme", "2019", "v2", "test1", "abcdefgh", "photographs"]
+    for _ in range(150):
+        parts = []
+        for _ in range(draw.randint(1, 6)):
+            parts.append(draw.choice([lambda: token(draw.choice([6, 16, 24])), uuid, lambda: draw.choice(words), lambda: draw.randbytes(12).hex()])())
+        texts.append(draw.choice(["ghp_", "sk_live_", "", "", "see "]) + draw.choice("/_-+=").join(parts) + draw.choice(["", " and more", "-x1"]))
+    return texts
+
+
+@pytest.mark.parametrize("block", [secrets.BLOCK, 7])
+def test_shaped_candidates_equal_plain_search(spark, monkeypatch, block):
+    monkeypatch.setattr(secrets, "BLOCK", block)
+    texts = draw_shapes()
+    assert found(spark, texts) == [plain(t) for t in texts]
+
+
+def test_shaped_candidates_equal_sql(spark, tmp_path):
+    texts = [*draw_shapes(), *draw_texts(), None, "", "123e4567-e89b-12d3-a456-426614174000-123e4567-e89b-12d3-a456-426614174000/x9"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert mismatch(QUERIES["op3_secrets"](spark, str(tmp_path)), con, ORACLES["op3_secrets"]) is None
+
+
+def test_candidates_of_a_megabyte(spark):
+    draw = random.Random(3)
+    letters = "".join(secrets.CLASSES[1].alphabet[:64])
+    texts = ["".join(draw.choices(letters, k=1 << 20)), "ab-" * 350_000 + "x1", "a1/" * 350_000, draw.randbytes(1 << 19).hex()]
+    spans = found(spark, texts)
+    assert sum(b - a for a, b in entropy(spans[0])) > 1_000_000
+    assert entropy(spans[1]) == entropy(spans[2]) == [] and entropy(spans[3]) == [(0, 1 << 20)]
+
+
+def test_very_many_matches(spark):
+    draw = random.Random(4)
+    texts = [" ".join("AKIA" + "".join(draw.choices("ABCDEFGHJKLMNPQR", k=20)) for _ in range(3_000))]
+    assert [s for s in found(spark, texts)[0] if s[1] == 1] == [(25 * i, 1, 25 * i + 24) for i in range(3_000)]
+
+
 def test_equals_plain_search(spark):
     texts = draw_texts()
     assert found(spark, texts) == [plain(t) for t in texts]
@@ -128,8 +196,6 @@ def test_awkward_rows(spark):
 
 
 def test_no_python_in_the_plan(spark, small):
-    from wattline.llm.queries import QUERIES
-
     for name in ("op1_mix_sources", "op3_secrets"):
         plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)

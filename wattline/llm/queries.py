@@ -115,16 +115,35 @@ c as (
   select doc_id, start, text, regexp_matches(text, '^[0-9a-fA-F]+$') as hex from m
   where kind = 3
     and not regexp_matches(text, '^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$')
-    and not regexp_matches(text, '^[A-Za-z+/_=-]+$') and not regexp_matches(text, '^[0-9+/_=-]+$')
-    and not regexp_matches(text, '(?i)example|sample|dummy|placeholder|test|xxxx|1234567890|abcdefgh')
-    and not regexp_matches(text, '^([A-Za-z]+[/_-])+[A-Za-z0-9]*$')
-    and not regexp_matches(text, '^([A-Za-z0-9]{1,15}[/_-])+[A-Za-z0-9]{0,15}$')),
-w as (select doc_id, start, hex, i, string_split(substr(text, i + 1, 20), '') as chars
-  from (select *, unnest(range(0, length(text) - 19)) as i from c)),
+    and not regexp_matches(text, '^[A-Za-z+/_=-]+$') and not regexp_matches(text, '^[0-9+/_=-]+$')),
+u as (select *, string_split_regex(text, '[/_-]') as parts, UUIDS as marked from c),
+v as (
+  select doc_id, start, text, hex, string_split_regex(BARRED, '[+/_=-]') as own,
+    len(parts) > 1 and (
+      len(list_filter(parts[:-2], lambda p: not regexp_matches(p, '^[A-Za-z]+$'))) = 0 and regexp_matches(parts[-1], '^[A-Za-z0-9]*$')
+      or len(list_filter(parts[:-2], lambda p: not regexp_matches(p, '^[A-Za-z0-9]{1,15}$'))) = 0
+        and regexp_matches(parts[-1], '^[A-Za-z0-9]{0,15}$')) as path
+  from u),
+q as (
+  select *, regexp_extract_all(array_to_string(list_transform(own, lambda p: regexp_replace(p, '[^!]',
+    case when not (regexp_matches(p, '[0-9]') and regexp_matches(p, '[A-Za-z]')) then '.'
+      when regexp_matches(p, '^[0-9a-fA-F]+$') then 'h' else '#' end, 'g')), '.'), '[.!]+|[^.!]+') as runs
+  from v),
+z as (
+  select doc_id, start, text, hex, case when path then mask else translate(mask, '.h', '##') end as mask
+  from (select *, array_to_string(list_transform(runs, lambda r: case when contains(r, '!') then replace(r, '.', '!') else r end), '') as mask
+    from q)),
+w as (select doc_id, start, hex, i, substr(mask, i + 1, 20) as signs, string_split(substr(text, i + 1, 20), '') as chars
+  from (select *, unnest(range(0, length(text) - 19)) as i from z)),
+x as (
+  select doc_id, start, i, signs, hex,
+    list_sum(list_transform(list_distinct(chars), lambda x: terms[len(list_filter(chars, lambda y: y = x)) + 1])) as total
+  from w, t),
 h as (
-  select doc_id, start, i from w, t
-  where list_sum(list_transform(list_distinct(chars), lambda x: terms[len(list_filter(chars, lambda y: y = x)) + 1]))
-    <= floor((log2(20) - case when hex then 2.9 else 3.8 end) * 20 * 1000000)),
+  select doc_id, start, i from x
+  where not contains(signs, '!') and total <= floor((log2(20) - 2.9) * 20 * 1000000)
+    and (signs = 'hhhhhhhhhhhhhhhhhhhh'
+      or regexp_matches(signs, '[#h]') and total <= floor((log2(20) - case when hex then 2.9 else 3.8 end) * 20 * 1000000))),
 g as (select *, i - lag(i) over (partition by doc_id, start order by i) > 20 as fresh from h),
 n as (select *, sum(case when fresh then 1 else 0 end) over (partition by doc_id, start order by i) as island from g),
 e as (
@@ -142,6 +161,19 @@ from d left join s using (doc_id)
 """
 
 
+# A UUID among other parts counts as letters. A match takes its neighbours along, so that of two in a row the second needs a second turn.
+_UUIDS = "text"
+for _ in range(2):
+    _UUIDS = (
+        rf"regexp_replace({_UUIDS}, '(^|[+/_=-])[0-9a-fA-F]{{8}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{12}}($|[+/_=-])', "
+        r"'\1gggggggg-gggg-gggg-gggg-gggggggggggg\2', 'g')"
+    )
+_BARRED = "marked"
+for _word in ("example", "sample", "dummy", "placeholder", "test", "xxxx", "1234567890", "abcdefgh"):
+    _BARRED = f"regexp_replace({_BARRED}, '(?i){_word}', '{'!' * len(_word)}', 'g')"
+OP3_SQL = OP3_SQL.replace("UUIDS", _UUIDS).replace("BARRED", _BARRED)
+
+
 def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows of every twentieth vector."""
     vectors = table(spark, sf_dir, "embeddings")
