@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from wattline.operators import forecast
+from wattline.operators import forecast, likelihood, seasonal
 
 START = datetime.date(2022, 1, 1)
 
@@ -82,17 +82,135 @@ def test_the_asked_order_or_no_forecast(spark):
     assert by_key["c"].ds == START + datetime.timedelta(days=1)
 
 
-def test_trend_changes_do_not_depend_on_the_length(spark, monkeypatch):
-    seen = []
-    design = forecast.seasonal_design
+def test_trend_changes_do_not_depend_on_the_length(spark):
     for n in (1, 20, 300):
-        seen.append(design(np.arange(float(n)), 0.0, max(n - 1.0, 1.0), np.linspace(0, 0.8, forecast.HINGES + 2)[1:-1]).shape[1])
-    assert len(set(seen)) == 1
-    few = forecast.forecast_seasonal(series(spark, a=ar1(60, 0.5)), hinges=2)
-    many = forecast.forecast_seasonal(series(spark, a=ar1(60, 0.5)))
+        x = seasonal.design(np.arange(float(n))[None], np.zeros(1), np.array([max(n - 1.0, 1.0)]), 25, 10, 3)
+        assert x.shape == (1, n, 2 + 26 + 25)
+    turning = series(spark, a=ar1(60, 0.5) + np.abs(np.arange(60) - 20))
+    few, many = forecast.forecast_seasonal(turning, hinges=2, yearly=0), forecast.forecast_seasonal(turning, yearly=0)
     assert few.count() == many.count() == 30 and not few.exceptAll(many).isEmpty()
 
 
+def test_penalised_fit_is_optimal():
+    """At the least penalised squares no coefficient can be moved either way for the better."""
+    rng = np.random.default_rng(2)
+    days, y = np.tile(np.arange(200.0), (3, 1)), rng.normal(size=(3, 200)).cumsum(axis=1) / 5
+    x = seasonal.design(days, np.zeros(3), np.full(3, 199.0), 8, 2, 1)
+    beta, penalty = seasonal.fit(x, y, 8, expected=2.0, cycles=0.1)
+    off = y - (x @ beta[:, :, None])[:, :, 0]
+    slope = (x.transpose(0, 2, 1) @ off[:, :, None])[:, :, 0]
+    assert np.abs(slope[:, :2]).max() < 1e-6
+    assert np.abs(slope[:, 2:8] - 0.1 * beta[:, 2:8]).max() < 1e-6
+    delta = beta[:, 8:]
+    zero = delta == 0
+    assert zero.any() and (~zero).any()
+    bound = np.tile(penalty[:, None], (1, 8))
+    assert np.all(np.abs(slope[:, 8:][zero]) <= bound[zero] + 1e-6)
+    assert np.abs(slope[:, 8:][~zero] - bound[~zero] * np.sign(delta[~zero])).max() < 1e-5
+
+
+def test_few_changes_are_found_where_they_are():
+    t = np.arange(300.0)
+    y = 0.1 * t + 0.5 * np.maximum(0, t - 150) + np.random.default_rng(3).normal(size=300)
+    x = seasonal.design(t[None], np.zeros(1), np.array([299.0]), 25, 0, 0)
+    delta = seasonal.fit(x, ((y - y.mean()) / y.std())[None], 25)[0][0, 2:]
+    turns = seasonal.turns(25)[np.abs(delta) > 1e-3]
+    assert 1 <= len(turns) <= 6 and np.abs(turns - 0.5).min() < 0.05
+
+
+def test_intervals_widen_and_cover():
+    """About four fifths of the days held out lie inside; the further ahead, the wider."""
+    rng, inside, ratio = np.random.default_rng(4), [], []
+    ys = []
+    for _ in range(150):
+        changes = (rng.random(330) < 0.03) & ((np.arange(330) < 240) | (np.arange(330) >= 300))
+        slope = np.cumsum(np.where(changes, rng.laplace(0, 0.1, 330), 0.0))
+        ys.append(np.cumsum(slope) + rng.normal(size=330))
+    days = [np.arange(300.0)] * 150
+    yhat, low, high = seasonal.forecast([str(i) for i in range(150)], days, [y[:300] for y in ys], 30, yearly=0, weekly=0)
+    future = np.array([y[300:] for y in ys])
+    inside = ((low <= future) & (future <= high)).mean()
+    assert 0.65 <= inside <= 0.93
+    wide = (high - low).mean(axis=0)
+    assert wide[-1] > 1.1 * wide[0] and np.all(low <= yhat) and np.all(yhat <= high)
+
+
+def test_blocks_do_not_change_a_series(spark):
+    df = series(spark, **{f"s{i}": ar1(40 + i, 0.5, i) + 0.2 * np.arange(40 + i) for i in range(12)})
+    frames = []
+    for points in (1, 300, 1 << 16):
+        known = [s for s in sorted(df.select("series_key").distinct().collect())]
+        assert len(known) == 12
+        run = lambda block: [
+            {"series_key": [s.key], "yhat": [float(v[0])]}
+            for s, v in zip(block, seasonal.forecast([s.key for s in block], [s.days for s in block], [s.y for s in block], 5)[1])
+        ]
+        frames.append(rows(forecast._in_blocks(df, run, "series_key STRING, yhat DOUBLE", points), "series_key"))
+    assert all(abs(a[1] - b[1]) < 1e-8 for other in frames[1:] for a, b in zip(frames[0], other))
+    assert [r[0] for r in frames[0]] == [r[0] for r in frames[2]]
+
+
+def dense(x, ar, ma):
+    """Log-likelihood with the best variance from the full covariance matrix."""
+    n, psi = len(x), np.zeros(3000)
+    for i in range(3000):
+        psi[i] = (1.0 if i == 0 else ma[i - 1] if i <= len(ma) else 0.0) + sum(ar[j] * psi[i - 1 - j] for j in range(min(len(ar), i)))
+    auto = np.array([psi[: 3000 - h] @ psi[h:] for h in range(n)])
+    cov = auto[np.abs(np.subtract.outer(np.arange(n), np.arange(n)))]
+    variance = x @ np.linalg.solve(cov, x) / n
+    return -0.5 * (n * np.log(2 * np.pi * variance) + np.linalg.slogdet(cov)[1] + n)
+
+
+def test_filter_gives_the_exact_likelihood():
+    x = np.random.default_rng(0).normal(size=(3, 60))
+    lengths = np.array([60, 41, 20])
+    partial_ar = np.array([[0.6, -0.3, 0.2], [0.1, 0.1, 0.9], [0.0, 0.0, 0.0]])
+    partial_ma = np.array([[0.5, 0.2], [-0.7, 0.1], [0.99, 0.0]])
+    ar, ma = likelihood.coefficients(partial_ar), -likelihood.coefficients(partial_ma)
+    found = likelihood.kalman(x, lengths, ar, ma).loglik
+    want = [dense(x[i, : lengths[i]], ar[i], ma[i]) for i in range(3)]
+    assert found == pytest.approx(want, rel=1e-9)
+    assert likelihood.partials(ar) == pytest.approx(partial_ar, abs=1e-12)
+
+
+def simulated(n, seed):
+    ar = likelihood.coefficients(np.array([[0.5, -0.3, 0.2, 0.1, -0.2, 0.1, 0.4]]))[0]
+    ma = -likelihood.coefficients(np.array([[0.3, 0.2, -0.1, 0.2, 0.1, -0.2, 0.3]]))[0]
+    rng, y = np.random.default_rng(seed), np.zeros(n + 300)
+    e = rng.normal(size=n + 300)
+    for t in range(7, n + 300):
+        y[t] = ar @ y[t - 7 : t][::-1] + e[t] + ma @ e[t - 7 : t][::-1]
+    return np.cumsum(y[300:]), ar, ma
+
+
+def test_search_never_ends_below_its_start():
+    ys, truths = zip(*[(y, (ar, ma)) for y, ar, ma in (simulated(500 + 40 * i, i) for i in range(4))])
+    fits = forecast.fit_block(list(ys), (7, 1, 7), 30)
+    for y, (ar, ma), fit in zip(ys, truths, fits):
+        w = np.diff(y)
+        true = likelihood.kalman(w[None], np.array([len(w)]), ar[None], ma[None]).loglik[0]
+        assert fit["loglik"] >= fit["start"] - 1e-6 and fit["loglik"] > true - 1
+        assert fit["aic"] == pytest.approx(-2 * fit["loglik"] + 30) and len(fit["ahead"]) == 30
+        assert fit["bic"] == pytest.approx(-2 * fit["loglik"] + 15 * np.log(len(w)))
+        own = likelihood.kalman(w[None], np.array([len(w)]), fit["ar"][None], fit["ma"][None]).loglik[0]
+        assert own == pytest.approx(fit["loglik"], rel=1e-8)
+
+
+def test_a_block_equals_its_series_alone():
+    ys = [simulated(n, n)[0] for n in (300, 420, 350)]
+    together = forecast.fit_block([*ys, np.ones(5)], (1, 1, 1), 10)
+    assert isinstance(together[3], str) and "too few" in together[3]
+    for y, fit in zip(ys, together):
+        (alone,) = forecast.fit_block([y], (1, 1, 1), 10)
+        assert fit["loglik"] == pytest.approx(alone["loglik"], rel=1e-6)
+        assert forecast.predict_arima(y, fit, 10) == pytest.approx(forecast.predict_arima(y, alone, 10), rel=1e-2)
+
+
+def test_a_series_without_movement_is_fitted():
+    (fit,) = forecast.fit_block([np.full(60, 4.0)], (1, 1, 1), 5)
+    assert forecast.predict_arima(np.full(60, 4.0), fit, 5) == pytest.approx([4.0] * 5)
+
+
 def test_selection_has_every_order_of_every_series(spark):
     ranked = forecast.select_arima(series(spark, a=ar1(400, 0.6), b=ar1(50, 0.5), c=[1.0])).collect()
     for key in "abc":

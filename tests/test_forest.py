@@ -53,10 +53,57 @@ def test_seed_matters(cloud):
     assert a != b
 
 
-def test_every_tree_gets_its_sample(cloud):
-    drawn = forest.tree_samples(cloud, COLS, KEYS, 60, 16, 42, 4000)
-    counts = [r["count"] for r in drawn.groupBy("tree_id").count().collect()]
-    assert counts == [16] * 60
+def lowest(rows, tree, sample, seed):
+    """The sample of a tree by sorting all rows."""
+    prime = 2**31 - 1
+    factor, shift = 1 + forest._digest(seed, tree, "factor") % (prime - 1), forest._digest(seed, tree, "shift") % prime
+    keyed = [((factor * (h % prime) + shift) % prime, h, *x) for h, *x in rows]
+    return sorted(keyed)[:sample]
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_samples_are_the_lowest_hashes_of_all_rows(cloud, parts):
+    rows = [tuple(r) for r in cloud.select(forest._row_hash(42, KEYS), *COLS).collect()]
+    drawn = forest.tree_samples(cloud.repartition(parts), COLS, KEYS, 20, 16, 42)
+    found = {}
+    for r in drawn.collect():
+        found.setdefault(r.tree_id, []).append(tuple(r)[1:])
+    # Every task sends each tree no more than its sample.
+    assert all(len(own) <= 16 * parts for own in found.values())
+    for tree in range(20):
+        assert sorted(found[tree])[:16] == lowest(rows, tree, 16, 42)
+
+
+def test_samples_do_not_depend_on_how_rows_arrive(monkeypatch):
+    draw = np.random.default_rng(1)
+    row, x = draw.integers(0, 1 << 52, 3000), np.round(draw.normal(size=(3000, 2)), 1)
+    row[:500] = row[500:1000]  # equal keys go by the features
+    whole = forest._Lowest(9, 32, 5)
+    whole.add(row, x)
+    wanted = whole.shrink()
+    for chunk in (40, 300):
+        monkeypatch.setattr(forest, "_CHUNK", chunk)
+        parts = forest._Lowest(9, 32, 5)
+        for block in np.array_split(draw.permutation(3000), 11):
+            parts.add(row[block], x[block])
+        assert all(np.array_equal(a, b) for a, b in zip(parts.shrink(), wanted))
+
+
+def test_the_forest_takes_one_scan(cloud):
+    plan = forest.grow_forest(cloud, COLS, 20, 16, 42, KEYS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and plan.count("Exchange hashpartitioning") == 1
+    assert "Window" not in plan and "Aggregate" not in plan
+
+
+def test_a_stored_forest_scores_other_tables(spark, cloud):
+    nodes = materialize(forest.grow_forest(cloud, COLS, 50, 128, 42, KEYS), "forest")
+    assert nodes.count() <= 50 * 255
+    own = forest.forest_scores(cloud, **SMALL).select("id", "risk_score")
+    assert own.exceptAll(forest.forest_scores(cloud, cols=COLS, keys=KEYS, nodes=nodes).select("id", "risk_score")).isEmpty()
+    other = spark.createDataFrame([(1, 9.0, -7.0), (2, 1.0, 1.0)], "id long, x double, y double")
+    scored = {r.id: r.outlier_score for r in forest.outliers(other, cols=COLS, keys=KEYS, nodes=nodes).collect()}
+    same = {r.id: r.outlier_score for r in forest.outliers(cloud, **SMALL).where("id = 0").collect()}
+    assert scored[1] == same[0] > 0.6 > 0.5 > scored[2]
 
 
 def test_fewer_rows_than_a_sample(spark):
@@ -76,20 +123,21 @@ def test_no_rows(spark):
         forest.fit_forest(df, COLS, keys=KEYS)
 
 
-def test_path_lengths_by_walking_the_tree():
-    rng = np.random.default_rng(0)
-    data = rng.normal(size=(64, 3))
-    nodes = forest.grow_tree(data, rng, 6)
-    columns = [np.array([n[i] for n in nodes]) for i in range(5)]
+def test_path_lengths_by_walking_the_tree(spark):
+    data = np.random.default_rng(0).normal(size=(64, 3))
+    nodes = {n: (f, cut, path) for n, f, cut, path in forest.grow_tree(data, 3, 42)}
 
     def walk(row):
-        at = 0
-        while nodes[at][3] != at:
-            at = nodes[at][3] + int(row[nodes[at][1]] > nodes[at][2])
-        return nodes[at][4]
-
-    arrays = [c[None, :] for c in (columns[1].astype(int), columns[2], columns[3].astype(int), columns[4])]
-    got = forest.outlier_scores(data, *arrays, 6, 64)
+        at = 1
+        while nodes[at][0] is not None:
+            at = 2 * at + int(row[nodes[at][0]] > nodes[at][1])
+        return nodes[at][2] / 1e6
+
+    names = ["a", "b", "c"]
+    rows = [(3, n, None if f is None else names[f], cut, path, 64) for n, (f, cut, path) in nodes.items()]
+    model = forest.model_of(spark.createDataFrame(rows, forest.NODES))
+    assert model.cols == ("a", "b", "c") and model.depth == 6
+    got = forest.outlier_scores(data, *model.arguments())
     want = [2 ** (-walk(row) / forest.average_path(64)) for row in data]
     assert got == pytest.approx(want)
-    assert max(columns[4]) <= 6 + forest.average_path(64)
+    assert max(p for *_, p in nodes.values() if p) <= round((6 + forest.average_path(64)) * 1e6)

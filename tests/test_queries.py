@@ -8,9 +8,6 @@ from wattline.plans.oracles import ORACLES
 from wattline.plans.queries import QUERIES
 
 ROWS_ONLY = {
-    "forest_scores",
-    "anomaly_scores",
-    "suspicious_customers",
     "forecast_revenue",
     "model_selection",
     "forecast_units",

@@ -1,21 +1,27 @@
-"""Forecasts for many series at once, one pandas group per series.
+"""Forecasts for many series at once, in blocks of series.
 
 A series frame has `series_key`, `ds` and `y`, at most one row per day, so a
-group is as long as the calendar and never as long as the data. The national
-total is one series; towns and meters give as many as there are.
+series is as long as the calendar and never as long as the data. The national
+total is one series; towns and meters give as many as there are. Series are dealt
+out by a hash of their key and come sorted; a task reads them off into blocks of
+bounded size, whose numbers are worked out together.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattline.operators import likelihood, seasonal
+from wattline.operators.seasonal import HINGES
+
 # Executors get these functions by value and need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -24,8 +30,8 @@ REVENUE_ORDER = (7, 1, 7)
 # The orders that the model selection compares.
 CANDIDATE_ORDERS = ((1, 1, 1), (2, 1, 2), (3, 1, 3), (5, 1, 2), (7, 1, 7))
 
-YEARLY_TERMS, WEEKLY_TERMS, HINGES = 10, 3, 25
-INTERVAL_Z = 1.2816  # 80 % two-sided
+#: Points of the series that are worked on together, unless one series has more.
+BLOCK_POINTS = 1 << 16
 
 
 def as_series(daily: DataFrame, value: str, date: str = "date", key: Column | None = None) -> DataFrame:
@@ -34,6 +40,70 @@ def as_series(daily: DataFrame, value: str, date: str = "date", key: Column | No
     return daily.select(key.alias("series_key"), F.col(date).alias("ds"), F.col(value).cast("double").alias("y"))
 
 
+class Series(NamedTuple):
+    """One series in order: days since 1970 and values of the points that have both."""
+
+    key: str | None
+    days: np.ndarray
+    y: np.ndarray
+
+
+def _read_off(batches: Iterator[pa.RecordBatch]) -> Iterator[Series]:
+    """The series of a stream sorted by key and day; only the current one is held."""
+    held: list[pa.RecordBatch] = []
+
+    def series() -> Series:
+        table = pa.Table.from_batches(held)
+        days = table.column("ds").cast(pa.int32()).cast(pa.float64()).to_numpy()
+        y = table.column("y").to_numpy()
+        known = ~np.isnan(days) & ~np.isnan(y)
+        return Series(held[0].column("series_key")[0].as_py(), days[known], y[known])
+
+    for batch in batches:
+        keys = batch.column("series_key").to_pylist()
+        cuts = [0, *[i for i in range(1, len(keys)) if keys[i] != keys[i - 1]], len(keys)]
+        for low, high in zip(cuts, cuts[1:], strict=False):
+            if low == high:
+                continue
+            if held and held[0].column("series_key")[0].as_py() != keys[low]:
+                yield series()
+                held = []
+            held.append(batch.slice(low, high - low))
+    if held:
+        yield series()
+
+
+def _in_blocks(
+    series: DataFrame, run: Callable[[list[Series]], list[dict]], schema: str, points: int = BLOCK_POINTS
+) -> DataFrame:
+    """The columns of `schema` that `run` gives for blocks of series."""
+    names = [f.split()[0] for f in schema.split(", ")]
+    kinds = {"STRING": pa.string(), "DATE": pa.date32(), "DOUBLE": pa.float64(), "INT": pa.int32()}
+    types = [kinds[f.split()[1]] for f in schema.split(", ")]
+
+    def result(block: list[Series]) -> pa.RecordBatch:
+        parts = run(block)
+        columns = [[v for part in parts for v in part[name]] for name in names]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block: list[Series] = []
+        for one in _read_off(batches):
+            # A block is as wide as its longest series.
+            longest = max([len(one.y), *[len(s.y) for s in block]])
+            if block and (len(block) + 1) * longest > points:
+                yield result(block)
+                block = []
+            block.append(one)
+        if block:
+            yield result(block)
+
+    narrow = series.select(F.col("series_key").cast("string"), F.col("ds").cast("date"), F.col("y").cast("double"))
+    # Few bytes can mean much work, so the number of tasks is not left to their size.
+    tasks = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return narrow.repartition(tasks, "series_key").sortWithinPartitions("series_key", "ds", "y").mapInArrow(work, schema)
+
+
 def fill_gaps(series: DataFrame, value: float = 0.0) -> DataFrame:
     """Add the missing days between the first and the last of each series; a missing value is filled too.
 
@@ -148,144 +218,175 @@ def fit_arima(y: np.ndarray, order: tuple[int, int, int]) -> dict:
 
 
 def predict_arima(y: np.ndarray, fit: dict, horizon: int) -> np.ndarray:
+    """The days after `y` under `fit`."""
     p, d, q = fit["order"]
-    x = list(fit["w"] - fit["mean"])
-    e = list(fit["residuals"])
-    for _ in range(horizon):
-        past = np.array(x[-p:][::-1]) if p else np.empty(0)
-        shocks = np.array(e[-q:][::-1]) if q else np.empty(0)
-        x.append(float(fit["ar"] @ past + fit["ma"] @ shocks))
-        e.append(0.0)
-    out = np.array(x[-horizon:]) + fit["mean"]
+    if "ahead" in fit:
+        out = fit["ahead"][:horizon] + fit["mean"]
+    else:
+        x = list(fit["w"] - fit["mean"])
+        e = list(fit["residuals"])
+        for _ in range(horizon):
+            past = np.array(x[-p:][::-1]) if p else np.empty(0)
+            shocks = np.array(e[-q:][::-1]) if q else np.empty(0)
+            x.append(float(fit["ar"] @ past + fit["ma"] @ shocks))
+            e.append(0.0)
+        out = np.array(x[-horizon:]) + fit["mean"]
     for level in range(d - 1, -1, -1):
         out = np.diff(y, n=level)[-1] + np.cumsum(out)
     return out
 
 
+def fit_block(ys: list[np.ndarray], order: tuple[int, int, int], horizon: int, exact: bool = True) -> list[dict | str]:
+    """A fit of each series, or the reason why there is none.
+
+    Hannan-Rissanen gives every series its start. With `exact` the search for the
+    largest likelihood goes on from there, for all series of the block together;
+    `loglik`, `aic` and `bic` are then those of the exact likelihood, `start` is
+    the likelihood it began at.
+    """
+    out: list[dict | str] = []
+    for y in ys:
+        try:
+            out.append(fit_arima(y, order))
+        except (ValueError, np.linalg.LinAlgError) as reason:
+            out.append(str(reason))
+    fitted = [f for f in out if isinstance(f, dict)]
+    if not exact or not fitted:
+        return out
+    p, d, q = order
+    # Filtered at unit scale; a series that never moves keeps its own.
+    scales = np.array([float(np.std(f["w"] - f["mean"])) or 1.0 for f in fitted])
+    lengths = np.array([len(f["w"]) for f in fitted])
+    x = np.zeros((len(fitted), int(lengths.max())))
+    for row, f, scale in zip(x, fitted, scales, strict=True):
+        row[: len(f["w"])] = (f["w"] - f["mean"]) / scale
+    best = likelihood.fit_block(x, lengths, np.array([f["ar"] for f in fitted]), np.array([f["ma"] for f in fitted]))
+    ahead, k = best.ahead(horizon) * scales[:, None], p + q + 1 + (0 if d else 1)
+    for i, f in enumerate(fitted):
+        loglik, begun = (float(v[i] - lengths[i] * np.log(scales[i])) for v in (best.loglik, best.start))
+        f |= {
+            "ar": best.ar[i],
+            "ma": best.ma[i],
+            "ahead": ahead[i],
+            "start": begun,
+            "loglik": loglik,
+            "aic": -2 * loglik + 2 * k,
+            "bic": -2 * loglik + k * np.log(lengths[i]),
+        }
+    return out
+
+
 _ARIMA = "series_key STRING, ds DATE, forecast DOUBLE, p INT, d INT, q INT, status STRING"
 FITTED = "fitted"
 
 
 def forecast_arima(
-    series: DataFrame, order: tuple[int, int, int] = REVENUE_ORDER, horizon: int = HORIZON
+    series: DataFrame, order: tuple[int, int, int] = REVENUE_ORDER, horizon: int = HORIZON, exact: bool = True
 ) -> DataFrame:
     """`series_key, ds, forecast, p, d, q, status` for the days after each series.
 
-    The order is never changed: a series it cannot be fitted to gets NULL forecasts and the reason as its status.
-    A series without any dated value has no days to forecast and one row with NULLs.
+    Fitted by the exact likelihood, or else by least squares alone. The order is
+    never changed: a series it cannot be fitted to gets NULL forecasts and the
+    reason as its status. A series without any dated value has no days to forecast
+    and one row with NULLs.
     """
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        key = group["series_key"].iloc[0]
-        group = group.dropna(subset=["ds", "y"]).sort_values("ds")
-        out = pd.DataFrame({"series_key": [key], "ds": [None], "forecast": [np.nan]})
-        status = "no values"
-        if not group.empty:
-            y = group["y"].to_numpy(dtype=float)
-            days = pd.date_range(pd.Timestamp(group["ds"].iloc[-1]) + pd.Timedelta(days=1), periods=horizon)
-            try:
-                values, status = predict_arima(y, fit_arima(y, tuple(order)), horizon), FITTED
-            except (ValueError, np.linalg.LinAlgError) as reason:
-                values, status = np.full(horizon, np.nan), str(reason)
-            out = pd.DataFrame({"series_key": key, "ds": days.date, "forecast": values})
-        p, d, q = order
-        return out.assign(p=p, d=d, q=q, status=status)
-
-    found = series.groupBy("series_key").applyInPandas(run, _ARIMA)
-    return found.withColumn("forecast", F.nanvl("forecast", F.lit(None).cast("double")))
+    order = tuple(order)
+
+    def run(block: list[Series]) -> list[dict]:
+        known = [s for s in block if len(s.y)]
+        fits = iter(fit_block([s.y for s in known], order, horizon, exact))
+        out = []
+        for s in block:
+            days, values, status = [None], [None], "no values"
+            if len(s.y):
+                fit = next(fits)
+                days = (int(s.days[-1]) + np.arange(1, horizon + 1)).tolist()
+                values, status = [None] * horizon, fit
+                if isinstance(fit, dict):
+                    ahead = predict_arima(s.y, fit, horizon)
+                    values, status = [float(v) if np.isfinite(v) else None for v in ahead], FITTED
+            named = {"series_key": s.key, "status": status} | dict(zip("pdq", order, strict=True))
+            out.append({"ds": days, "forecast": values} | {k: [v] * len(days) for k, v in named.items()})
+        return out
+
+    return _in_blocks(series, run, _ARIMA)
+
+
+_MEASURES = ("aic", "bic", "mae", "rmse", "mape")
+_SELECTION = "series_key STRING, p INT, d INT, q INT, aic DOUBLE, bic DOUBLE, mae DOUBLE, rmse DOUBLE, mape DOUBLE, status STRING"
 
 
-_SELECTION = "series_key STRING, p INT, d INT, q INT, aic DOUBLE, bic DOUBLE, mae DOUBLE, rmse DOUBLE, mape DOUBLE, status STRING"
+def _measured(train: np.ndarray, test: np.ndarray, fit: dict) -> dict[str, float]:
+    error = test - predict_arima(train, fit, len(test))
+    share = np.abs(error[test != 0] / test[test != 0])
+    return {
+        "aic": fit["aic"],
+        "bic": fit["bic"],
+        "mae": np.mean(np.abs(error)),
+        "rmse": np.sqrt(np.mean(error**2)),
+        "mape": np.mean(share) * 100 if len(share) else np.nan,
+    }
 
 
 def select_arima(
-    series: DataFrame, orders: Sequence[tuple[int, int, int]] = CANDIDATE_ORDERS, test_points: int = HORIZON
+    series: DataFrame,
+    orders: Sequence[tuple[int, int, int]] = CANDIDATE_ORDERS,
+    test_points: int = HORIZON,
+    exact: bool = True,
 ) -> DataFrame:
     """Score each order on the last points of each series; `place` 1 is the best RMSE.
 
-    One group per series and order, so a single long series still uses several
-    tasks. An order that cannot be fitted has NULL measures, the reason as its
-    status and a place behind the others.
+    Series and orders are dealt out together, so a single long series still uses
+    several tasks. An order that cannot be fitted has NULL measures, the reason as
+    its status and a place behind the others.
     """
-    candidates = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(d).alias("d"), F.lit(q).alias("q")) for p, d, q in orders])
-    paired = series.withColumn("order", F.explode(candidates)).select("series_key", "ds", "y", "order.*")
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        head = group.iloc[0]
-        order = (int(head["p"]), int(head["d"]), int(head["q"]))
-        y = group.dropna(subset=["ds", "y"]).sort_values("ds")["y"].to_numpy(dtype=float)
-        train, test = y[:-test_points], y[-test_points:]
-        measures, status = {}, FITTED
-        try:
-            fit = fit_arima(train, order)
-            error = test - predict_arima(train, fit, len(test))
-            share = np.abs(error[test != 0] / test[test != 0])
-            measures = {
-                "aic": fit["aic"],
-                "bic": fit["bic"],
-                "mae": np.mean(np.abs(error)),
-                "rmse": np.sqrt(np.mean(error**2)),
-                "mape": np.mean(share) * 100 if len(share) else np.nan,
-            }
-        except (ValueError, np.linalg.LinAlgError) as reason:
-            status = str(reason)
-        p, d, q = order
-        named = {"series_key": head["series_key"], "p": p, "d": d, "q": q}
-        blank = dict.fromkeys(("aic", "bic", "mae", "rmse", "mape"), np.nan)
-        return pd.DataFrame([named | blank | measures | {"status": status}])
-
-    scored = paired.groupBy("series_key", "p", "d", "q").applyInPandas(run, _SELECTION)
-    missing = F.lit(None).cast("double")
-    scored = scored.withColumns({c: F.nanvl(c, missing) for c in ("aic", "bic", "mae", "rmse", "mape")})
+    # An order is a prefix of the key, so that the orders of a series are series of their own.
+    own = F.coalesce(F.concat(F.lit("="), F.col("series_key").cast("string")), F.lit(""))
+    keys = F.array(*[F.concat(F.lit(f"{p} {d} {q} "), own) for p, d, q in orders])
+    paired = series.select(F.explode(keys).alias("series_key"), "ds", "y")
+
+    def run(block: list[Series]) -> list[dict]:
+        by_order: dict[tuple[int, int, int], list[Series]] = {}
+        for s in block:
+            order, own = tuple(map(int, s.key.split(" ", 3)[:3])), s.key.split(" ", 3)[3]
+            by_order.setdefault(order, []).append(s._replace(key=own[1:] if own else None))
+        out = []
+        for order, mine in by_order.items():
+            fits = fit_block([s.y[:-test_points] for s in mine], order, test_points, exact)
+            for s, fit in zip(mine, fits, strict=True):
+                row = dict.fromkeys(_MEASURES) | dict(zip("pdq", order, strict=True)) | {"series_key": s.key, "status": fit}
+                if isinstance(fit, dict):
+                    found = _measured(s.y[:-test_points], s.y[-test_points:], fit)
+                    row |= {"status": FITTED} | {k: float(v) if np.isfinite(v) else None for k, v in found.items()}
+                out.append({k: [v] for k, v in row.items()})
+        return out
+
+    scored = _in_blocks(paired, run, _SELECTION)
     best = Window.partitionBy("series_key").orderBy(F.col("rmse").asc_nulls_last(), "p", "d", "q")
     return scored.withColumn("place", F.row_number().over(best))
 
 
-def seasonal_design(days: np.ndarray, start: float, span: float, hinges: np.ndarray) -> np.ndarray:
-    """Columns for level, trend, trend changes, yearly and weekly cycles."""
-    t = (days - start) / span
-    columns = [np.ones_like(t), t, *[np.maximum(0.0, t - h) for h in hinges]]
-    for period, terms in ((365.25, YEARLY_TERMS), (7.0, WEEKLY_TERMS)):
-        for k in range(1, terms + 1):
-            angle = 2.0 * np.pi * k * days / period
-            columns += [np.sin(angle), np.cos(angle)]
-    return np.column_stack(columns)
-
-
-def forecast_seasonal(series: DataFrame, horizon: int = HORIZON, hinges: int = HINGES) -> DataFrame:
+def forecast_seasonal(
+    series: DataFrame, horizon: int = HORIZON, hinges: int = HINGES, yearly: int = seasonal.YEARLY, weekly: int = seasonal.WEEKLY
+) -> DataFrame:
     """Trend plus yearly and weekly cycles: `series_key, ds, yhat, yhat_lower, yhat_upper`.
 
-    Every series gets the same `hinges` changes of trend, however short it is; the penalty keeps the fit determined.
-
-    After Taylor and Letham, "Forecasting at Scale", 2018, fitted by ridge
-    regression: the level and slope are free, trend changes and cycles shrink.
+    Every series gets the same `hinges` possible changes of trend, however short
+    it is; most of them stay zero. The interval holds 80 % of simulated futures.
+    See `seasonal` for the model. A series without any dated value has no rows.
     """
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.dropna(subset=["ds", "y"]).sort_values("ds")
-        if group.empty:
-            return pd.DataFrame({"series_key": [], "ds": [], "yhat": [], "yhat_lower": [], "yhat_upper": []})
-        y = group["y"].to_numpy(dtype=float)
-        days = pd.to_datetime(group["ds"]).to_numpy().astype("datetime64[D]").astype(np.int64).astype(float)
-        start, span = days[0], max(days[-1] - days[0], 1.0)
-        turns = np.linspace(0.0, 0.8, hinges + 2)[1:-1]
-        x = seasonal_design(days, start, span, turns)
-        level, scale = y.mean(), y.std() or 1.0
-        weight = np.concatenate([[1e-6, 1e-6], np.full(len(turns), 10.0), np.full(x.shape[1] - 2 - len(turns), 0.1)])
-        beta = np.linalg.solve(x.T @ x + np.diag(weight), x.T @ ((y - level) / scale))
-        spread = INTERVAL_Z * np.std(y - (x @ beta * scale + level))
-        ahead = days[-1] + np.arange(1, horizon + 1)
-        yhat = seasonal_design(ahead, start, span, turns) @ beta * scale + level
-        return pd.DataFrame(
-            {
-                "series_key": group["series_key"].iloc[0],
-                "ds": pd.to_datetime(ahead, unit="D").date,
-                "yhat": yhat,
-                "yhat_lower": yhat - spread,
-                "yhat_upper": yhat + spread,
-            }
-        )
-
-    return series.groupBy("series_key").applyInPandas(
-        run, "series_key STRING, ds DATE, yhat DOUBLE, yhat_lower DOUBLE, yhat_upper DOUBLE"
-    )
+    def run(block: list[Series]) -> list[dict]:
+        known = [s for s in block if len(s.y)]
+        if not known:
+            return []
+        found = seasonal.forecast([s.key for s in known], [s.days for s in known], [s.y for s in known], horizon, hinges, yearly, weekly)
+        out = []
+        for s, values in zip(known, zip(*found, strict=True), strict=True):
+            days = (int(s.days[-1]) + np.arange(1, horizon + 1)).tolist()
+            columns = dict(zip(("yhat", "yhat_lower", "yhat_upper"), (v.tolist() for v in values), strict=True))
+            out.append({"series_key": [s.key] * horizon, "ds": days} | columns)
+        return out
+
+    schema = "series_key STRING, ds DATE, yhat DOUBLE, yhat_lower DOUBLE, yhat_upper DOUBLE"
+    return _in_blocks(series, run, schema)

@@ -431,6 +431,74 @@ ORACLES["suspicious_by_rule"] = f"""with {BRANCH_TX}, {_SCORES} select {_KEYS},
 
 # --- models ---------------------------------------------------------------
 
+
+def _chance(*parts: str) -> str:
+    """52 bits of the md5 of parts joined by bars, as a whole number."""
+    return f"('0x' || substr(md5({" || '|' || ".join(parts)}), 1, 13))::bigint"
+
+
+def _split(source: str) -> str:
+    """Nodes (t, node, depth, levels, m) with the feature and threshold that split their members, both NULL in leaves."""
+    k = f"range(1, {len(_NUMERIC) + 1})"
+    share = lambda kind: f"{_chance('42', 't::varchar', 'node::varchar', kind)} / 4503599627370496::double"
+    return f"""select t, node, depth, levels, m, feature, case when lows[feature] + share * (highs[feature] - lows[feature]) >= highs[feature]
+        then lows[feature] else lows[feature] + share * (highs[feature] - lows[feature]) end as threshold
+    from (select *, case when depth < levels and len(m) > 1 and len(varying) > 0
+        then varying[1 + floor({share("'feature'")} * len(varying))::int] end as feature, {share("'threshold'")} as share
+      from (select *, list_filter({k}, lambda i: highs[i] > lows[i]) as varying
+        from (select *, list_transform({k}, lambda i: list_min(list_transform(m, lambda r: r[i]))) as lows,
+            list_transform({k}, lambda i: list_max(list_transform(m, lambda r: r[i]))) as highs
+          from {source})))"""
+
+
+_PRIME = "2147483647"
+#: The rows of every tree, its growth and every customer's walk through it, by recursive queries.
+_FOREST = f"""numbered as (select {_KEYS}, row_number() over () as id, [{", ".join(f"{c}::double" for c in _NUMERIC)}] as x,
+    {_chance("'42'", *[f"coalesce({c}::varchar, '')" for c in _KEYS.split(", ")])} as h from features),
+trees as (select t, 1 + {_chance("'42'", "t::varchar", "'factor'")} % ({_PRIME} - 1) as a,
+    {_chance("'42'", "t::varchar", "'shift'")} % {_PRIME} as b from range(200) as r(t)),
+drawn as (select t, x, row_number() over (partition by t order by (a * (h % {_PRIME}) + b) % {_PRIME}, h, x) as place
+  from numbered, trees qualify place <= 256),
+roots as (select t, 1::bigint as node, 0 as depth, greatest(1, ceil(log2(greatest(count(*), 2))))::int as levels,
+    list(x order by place) as m from drawn group by t),
+grown as (
+  {_split("roots")}
+  union all
+  {_split("""(select t, 2 * node + side as node, depth + 1 as depth, levels,
+            list_filter(m, lambda r: (r[feature] > threshold) = (side = 1)) as m
+          from grown, (values (0), (1)) as sides(side) where feature is not null)""")}),
+nodes as (select t, node, feature, threshold, case when feature is null then round(1000000 * (depth + case when len(m) <= 1 then 0
+    when len(m) = 2 then 1 else 2 * (ln(len(m) - 1) + 0.5772156649015329) - 2 * (len(m) - 1)::double / len(m) end))::bigint end as path
+  from grown),
+walked as (
+  select id, t, 1::bigint as node, feature, threshold, path from numbered, nodes where node = 1
+  union all
+  select w.id, w.t, n.node, n.feature, n.threshold, n.path
+  from walked w join numbered r on r.id = w.id
+    join nodes n on n.t = w.t and n.node = 2 * w.node + case when r.x[w.feature] > w.threshold then 1 else 0 end
+  where w.path is null),
+size as (select least(256, count(*)) as n from features),
+paths as (select id, sum(path)::bigint as total from walked group by id),
+outliers as (select id, round(pow(2, -(total / (200 * 1000000)::double) / case when n <= 2 then 1
+    else 2 * (ln(n - 1) + 0.5772156649015329) - 2 * (n - 1)::double / n end), 9) as outlier_score from paths, size),
+stats as (select quantile_cont(-outlier_score, 0.08) as shift, quantile_cont(outlier_score, 0.90) as p90,
+  quantile_cont(outlier_score, 0.98) as p98 from outliers),
+judged as (select {_KEYS}, -outlier_score - shift as isolation_score,
+    cast(case when -outlier_score - shift < 0 then -1 else 1 end as integer) as isolation_prediction, -(-outlier_score - shift) as risk_score,
+    cast(case when outlier_score >= p98 then 2 when outlier_score >= p90 then 1 else 0 end as integer) as anomaly_score
+  from outliers join numbered using (id), stats)"""
+_JUDGED = f"""{_SCORES}, {_FOREST}, judged_scores as (select scores.* exclude (risk_score, anomaly_score), isolation_score,
+    isolation_prediction, judged.risk_score, judged.anomaly_score
+  from scores join judged on scores.meter_number is not distinct from judged.meter_number
+    and scores.account_number is not distinct from judged.account_number and scores.town is not distinct from judged.town)"""
+ORACLES["forest_scores"] = f"""with recursive {BRANCH_TX}, {_FEATURES}, {_FOREST}
+select {_KEYS}, isolation_prediction, isolation_score, risk_score from judged"""
+ORACLES["anomaly_scores"] = f"with recursive {BRANCH_TX}, {_JUDGED} {_SHOW_BASE} from judged_scores"
+ORACLES["suspicious_customers"] = f"""with recursive {BRANCH_TX}, {_JUDGED} select {_KEYS}, risk_score, anomaly_score,
+  fraud_scenario_score, transaction_count, total_spent, max_purchase, sudden_consumption_drop_flag,
+  purchase_spike_flag, inactive_customer_flag from judged_scores where anomaly_score > 0
+  order by risk_score desc, {_KEYS} limit 50"""
+
 _SERIES = f"{_DAILY}, series as (select 'all' as series_key, date as ds, daily_revenue as y from daily)"
 _SPLIT = f"""{_SERIES}, split as (select *, case when row_number() over (partition by series_key order by ds desc) <= 30
   then 'test' else 'train' end as split, lag(y, 7) over (partition by series_key order by ds) as forecast from series)"""
@@ -473,6 +541,29 @@ select series_key, p::integer as p, 1::integer as d, 0::integer as q, round(n *
   round(n * ln(v) + (p + 1) * ln(n), 4) as bic, round(mae, 4) as mae, round(rmse, 4) as rmse, round(mape, 4) as mape,
   'fitted' as status, row_number() over (partition by series_key order by errors.rmse, p)::integer as place
 from errors join shocks using (series_key, p)"""
+ORACLES["walk_criteria"] = f"""with {TX}, {_CHANGES.format(skip=30)},
+walks as (select series_key, count(x) as n, avg(x * x) as v from changes group by 1),
+logs as (select *, -n / 2 * (ln(2 * pi() * v) + 1) as loglik from walks)
+select series_key, case when n >= 12 then round(-2 * loglik + 2, 4) end as aic, case when n >= 12 then round(-2 * loglik + ln(n), 4) end as bic,
+  case when n >= 12 then 'fitted' else (n + 1) || ' points are too few for order (0, 1, 0)' end as status from logs"""
+# Level and slope are solved out of the values and of the one possible turn; the penalty, by the errors left, shrinks its height towards zero.
+ORACLES["forecast_trend"] = f"""with {TX},
+town_days as (select town as series_key, cast(transaction_date as date) as ds, {money("purchase_amount")} as y
+  from tx where transaction_date is not null group by 1, 2),
+ends as (select series_key, min(ds) as start, max(ds) as stop, greatest(date_diff('day', min(ds), max(ds)), 1)::double as span,
+    avg(y) as level, case when stddev_pop(y) > 0 then stddev_pop(y) else 1 end as scale from town_days group by 1),
+points as (select series_key, date_diff('day', start, ds) / span as t, greatest(0, date_diff('day', start, ds) / span - 0.4::double) as h,
+    (y - level) / scale as u from town_days join ends using (series_key)),
+lines as (select series_key, count(*) as n, coalesce(regr_slope(u, t), 0) as ub, coalesce(regr_intercept(u, t), avg(u)) as ua,
+    coalesce(regr_slope(h, t), 0) as hb, coalesce(regr_intercept(h, t), avg(h)) as ha from points group by 1),
+beyond as (select series_key, sum(pow(h - ha - hb * t, 2)) as g, sum((h - ha - hb * t) * u) as c, sum(pow(u - ua - ub * t, 2)) as r
+  from points join lines using (series_key) group by 1),
+free as (select *, c / (g + 1e-6 * n) as d from lines join beyond using (series_key)),
+costs as (select *, case when n > 6 then (r - 2 * d * c + d * d * g) / (n - 3) else r / n end / 0.25::double as cost from free),
+turned as (select *, case when g > 1e-9 * n then sign(c) * greatest(abs(c) - cost, 0) / g else 0 end as turn from costs)
+select series_key, {day("stop + cast(k as integer)")} as ds,
+  round(((ua - turn * ha) + (ub - turn * hb) * (1 + k / span) + turn * (1 + k / span - 0.4::double)) * scale + level, 2) as yhat
+from turned join ends using (series_key), range(1, 31) r(k)"""
 ORACLES["forecast_unit_days"] = f"""with {TX}, last as (
   select meter_number, max(cast(transaction_date as date)) as last from tx group by 1)
 select cast(meter_number as varchar) as meter_number, {day("last + cast(n as integer)")} as ds, true as inside
