@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -64,6 +65,21 @@ def test_stretches_do_not_change_the_result(model):
         assert model.encode(t) == list(model.segment(whole))
 
 
+def test_words_and_pattern_cut_alike(model, spark, small):
+    docs = [r.text for r in spark.read.parquet(f"{small}/documents.parquet").select("text").limit(60).collect()]
+    for t in docs + TEXTS + ["a \nb", "a\n b", "\n", "\na", "a\n\n", "a b ", "▁a b", "\n \n"]:
+        assert model.cut(t) == (model.stretches.findall(model.prefix + t.replace(" ", pieces.SPACE)) if t else [])
+
+
+def test_side_by_side_equals_one_by_one(model, spark, small):
+    docs = [r.text for r in spark.read.parquet(f"{small}/documents.parquet").select("text").limit(60).collect()]
+    parts = list({p for t in docs + TEXTS if t for p in model.stretches.findall(model.prefix + t.replace(" ", pieces.SPACE))})
+    assert len(parts) > 1000
+    together = [np.frombuffer(b, np.int32).tolist() for b in model.segment_all(parts)]
+    assert together == [list(model.segment(p)) for p in parts]
+    assert model.segment_all([]) == []
+
+
 def test_decoding_as_the_library_does(model):
     library = sentencepiece.SentencePieceProcessor(model_file=PATH)
     for t in TEXTS:
