@@ -153,6 +153,22 @@ def test_csv_to_gold_and_scores(spark, small):
     assert never.count() == scores.filter("total_units = 0 or transaction_count = 0").count()
 
 
+def test_the_message_route_adds_no_row_without_a_receipt_twice(spark, small):
+    sent = queries.sale_messages(spark, small).limit(50)
+    none = sent.limit(2).withColumn("transaction_id", F.lit(None).cast(sent.schema["transaction_id"].dataType))
+    out = new_path(spark, "silver")
+    first = medallion.silver_from_messages(sent.unionByName(none), out).count()
+    assert medallion.silver_from_messages(sent.unionByName(none), out).count() == first
+    assert read_table(spark, out).where("receipt_number is null").count() == 1
+
+
+def test_reports_share_one_score_table(spark, small):
+    first = queries.stored_rule_scores(spark, small).inputFiles()
+    assert queries.stored_rule_scores(spark, small).inputFiles() == first
+    plan = queries.QUERIES["score_distribution"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1
+
+
 def test_clean_up_leaves_nothing(spark, small, monkeypatch):
     folder = f"{session.shared_dir(spark)}/one-run"
     monkeypatch.setattr(session, "run_dir", lambda _: folder)

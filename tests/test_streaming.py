@@ -1,12 +1,15 @@
+import time
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from wattline.operators.messages import parse_messages
 from wattline.operators.risk import high_value_alerts
-from wattline.plans.queries import _event_messages
+from wattline.plans.queries import _event_messages, sale_messages
 from wattline.session import new_path
 from wattline.sources import broker, files, sinks
-from wattline.streaming import ingest, live
+from wattline.streaming import ingest, live, progress
 
 ONCE = {"availableNow": True}
 
@@ -26,8 +29,8 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, small):
         return query
 
     first = run()
-    progress = ingest.stream_progress(first)
-    assert progress.agg(F.sum("input_rows")).first()[0] == events(spark, small).count()
+    recent = ingest.stream_progress(first)
+    assert recent.agg(F.sum("input_rows")).first()[0] == events(spark, small).count()
     batch = ingest.bronze_stream(_event_messages(events(spark, small)))
     kept = [c for c in batch.columns if c not in ("ingestion_timestamp", "batch_id")]
     stored = files.read_table(spark, path)
@@ -37,6 +40,45 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, small):
     assert files.read_table(spark, path).count() == batch.count()
 
 
+def test_progress_outlives_its_stream(spark, small):
+    """Every batch of a stream and of its restart has a row, and an offset that was seen twice has one."""
+    schema = events(spark, small).schema
+    path, offsets, table = new_path(spark, "bronze"), new_path(spark, "offsets"), new_path(spark, "progress")
+    source = new_path(spark, "arriving")
+    parts = events(spark, small).randomSplit([0.5, 0.3, 0.2], seed=1)
+    listener = progress.keep_progress(spark, table, names=("kept_progress",))
+    try:
+        for part in parts:
+            part.coalesce(1).write.mode("append").parquet(source)
+            stream = _event_messages(files.parquet_stream(spark, source, schema, max_files=1))
+            ingest.ingest_stream(stream, path, offsets, ONCE, name="kept_progress").awaitTermination()
+        wanted = [p.count() for p in parts]
+        for _ in range(100):
+            if files.exists(spark, table) and progress.progress_table(spark, table).where("input_rows > 0").count() == 3:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    found = progress.progress_table(spark, table).where("input_rows > 0").orderBy("batch_id").collect()
+    assert [r.input_rows for r in found] == wanted
+    assert len({r.query_id for r in found}) == 1 and len({r.run_id for r in found}) == 3
+    again = spark.createDataFrame([found[0]], progress.PROGRESS).withColumn("run_id", F.lit("later")).withColumn("started_at", F.lit("9"))
+    again.write.mode("append").parquet(table)
+    kept = progress.progress_table(spark, table).where(F.col("batch_id") == found[0].batch_id).collect()
+    assert [r.run_id for r in kept] == ["later"]
+
+
+def test_messages_come_back_from_files(spark, small):
+    sent = sale_messages(spark, small)
+    path = new_path(spark, "messages")
+    broker.write_messages(sent, "json", path)
+    back = parse_messages(files.read_table(spark, path, "json"))
+    columns = [c for c in back.columns if c in sent.columns]
+    typed = sent.select([F.col(c).cast(back.schema[c].dataType).alias(c) for c in columns])
+    assert back.count() == sent.count()
+    assert back.select(columns).exceptAll(typed).isEmpty()
+
+
 def drop(spark, folder, data):
     df = spark.createDataFrame(
         data, "meter_number int, account_number string, town string, purchase_amount double, electricity_units double"

@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.operators import features, forecast, gold
+from wattline.operators import forest as outlier_forest
 from wattline.operators.clean import add_calendar, silver_clean, silver_sales, stamp
+from wattline.operators.features import sanitize
 from wattline.operators.messages import to_canonical
 from wattline.plans.revenue import score_customers
-from wattline.sources.files import read_raw_csv, read_table
+from wattline.sources.files import exists, read_raw_csv, read_table
 from wattline.sources.sinks import append_table, ensure_table, layout, write_table
 
 # Gold tables of a few rows per month or town, kept in one file each.
@@ -68,9 +70,17 @@ def build_gold(
 
 
 def build_scores(risk_features: DataFrame, out: str, fmt: str = "parquet", **forest) -> DataFrame:
-    """Forest and scenario scores of stored risk features to `gold_anomaly_scores`."""
+    """Forest and scenario scores of stored risk features to `gold_anomaly_scores`, and the forest to `gold_forest`.
+
+    The stored forest scores another table with `nodes=read_table(spark, f"{out}/gold_forest")`.
+    """
+    spark = risk_features.sparkSession
+    if "nodes" not in forest:
+        options = {k: forest.pop(k) for k in ("trees", "sample", "seed") if k in forest}
+        write_table(outlier_forest.grow_forest(sanitize(risk_features), **options), f"{out}/gold_forest", fmt=fmt)
+        forest["nodes"] = read_table(spark, f"{out}/gold_forest", fmt)
     write_table(score_customers(risk_features, **forest), f"{out}/gold_anomaly_scores", fmt=fmt)
-    return read_table(risk_features.sparkSession, f"{out}/gold_anomaly_scores", fmt)
+    return read_table(spark, f"{out}/gold_anomaly_scores", fmt)
 
 
 def silver_from_messages(
@@ -79,14 +89,14 @@ def silver_from_messages(
     """The message route: bronze messages to sales in silver, appended, and registered if a database is named.
 
     Receipts that silver holds already are left alone, so running it again over the same bronze adds nothing and over a
-    grown one adds what is new. New columns are united with the old ones on reading.
+    grown one adds what is new. Rows without a receipt are one receipt, as in `dedup`. New columns are united with the old
+    ones on reading.
     """
     spark = messages.sparkSession
     fresh = messages.transform(to_canonical).transform(silver_sales).transform(stamp, "processing_date")
-    path = spark._jvm.org.apache.hadoop.fs.Path(out)
-    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        known = read_table(spark, out, fmt).select("receipt_number").where("receipt_number is not null")
-        fresh = fresh.join(known, "receipt_number", "left_anti")
+    if exists(spark, out):
+        known = read_table(spark, out, fmt).select(F.col("receipt_number").alias("known_receipt"))
+        fresh = fresh.join(known, fresh["receipt_number"].eqNullSafe(known["known_receipt"]), "left_anti")
     append_table(fresh, out, fmt)
     if database:
         ensure_table(spark, database, table, None, out, fmt)

@@ -163,8 +163,18 @@ def stored_features(spark: SparkSession, folder: str) -> DataFrame:
     return revenue.store_features(branch_sales(spark, folder), latest_date(spark, folder))
 
 
+#: Where the scores of a folder's customers lie, by application and folder.
+_SCORE_TABLES: dict[tuple[str, str], str] = {}
+
+
 def stored_rule_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return materialize(revenue.rule_scores(stored_features(spark, folder)), "rule-scores")
+    """The one score table of a folder that the reports read, as `build_scores` leaves one; written by the first of them."""
+    key = (spark.sparkContext.applicationId, folder)
+    path = _SCORE_TABLES.get(key)
+    if path is None or not files.exists(spark, path):
+        path = _SCORE_TABLES[key] = new_path(spark, "rule-scores")
+        sinks.write_table(revenue.rule_scores(stored_features(spark, folder)), path)
+    return files.read_table(spark, path)
 
 
 def national_series(spark: SparkSession, folder: str) -> DataFrame:

@@ -43,3 +43,11 @@ def to_messages(df: DataFrame) -> DataFrame:
         F.col("transaction_id").cast("string").alias("key"),
         F.to_json(F.struct(*fields), {"timestampFormat": MICROSECONDS}).alias("value"),
     )
+
+
+def write_messages(df: DataFrame, fmt: str = "kafka", path: str | None = None, **options: str) -> None:
+    """Send rows as `to_messages` makes them to a broker topic, or append them to files of any format.
+
+    For the broker, `options` name the servers and the topic. A file sink needs a path and keeps both columns.
+    """
+    to_messages(df).write.format(fmt).mode("append").options(**options).save(path)

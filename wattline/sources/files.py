@@ -57,3 +57,9 @@ def parquet_stream(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(directory)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at `path`, on any file system that Spark reaches."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
