@@ -1,3 +1,5 @@
+import glob
+import threading
 import time
 
 import pytest
@@ -12,6 +14,7 @@ from wattline.sources import broker, files, sinks
 from wattline.streaming import ingest, live, progress
 
 ONCE = {"availableNow": True}
+REPORTS = ("live_kpis", "live_town_activity", "live_alerts")
 
 
 def events(spark, small):
@@ -88,7 +91,7 @@ def drop(spark, folder, data):
 
 
 def report(spark, out, name):
-    return spark.read.option("header", True).option("inferSchema", True).csv(f"{out}/{name}")
+    return spark.read.option("header", True).option("inferSchema", True).csv(live.report_path(spark, out, name))
 
 
 def test_live_reports_follow_the_latest_batch(spark):
@@ -123,11 +126,48 @@ def test_empty_batch_leaves_the_reports(spark):
     batch = spark.createDataFrame(
         data, "meter_number int, account_number string, town string, purchase_amount double, electricity_units double"
     )
+    with pytest.raises(FileNotFoundError):
+        live.published(spark, out)
     write(batch, 0)
     write(batch.limit(0), 1)
     assert report(spark, out, "live_kpis").first().live_transactions == 1
 
 
+def test_readers_never_meet_reports_of_two_batches(spark):
+    """A reader in a loop finds all three reports of one batch, whatever is being written."""
+    out = new_path(spark, "live")
+    write = live.live_writer(out)
+    schema = "meter_number int, account_number string, town string, purchase_amount double, electricity_units double"
+    batches = [spark.createDataFrame([(i, "a", f"T{n}", 200000.0 + n, 1.0) for i in range(n + 1)], schema) for n in range(5)]
+    write(batches[0], 0)
+    seen, wrong, done = set(), [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            folder = live.published(spark, out).removeprefix("file:")
+            lines = {n: len("".join(open(f).read() for f in glob.glob(f"{folder}/{n}/*.csv")).splitlines()) for n in REPORTS}
+            kpis = "".join(open(f).read() for f in glob.glob(f"{folder}/live_kpis/*.csv")).splitlines()
+            n = int(kpis[1].split(",")[2]) if len(kpis) > 1 else -1
+            seen.add(n)
+            if lines != {"live_kpis": 2, "live_town_activity": 2, "live_alerts": n + 1}:
+                wrong.append((n, lines))
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for n, batch in enumerate(batches[1:], 1):
+            write(batch, n)
+    finally:
+        time.sleep(0.5)
+        done.set()
+        reader.join()
+    assert not wrong and 5 in seen
+    last = live.published(spark, out)
+    write(batches[0], 4)
+    assert live.published(spark, out) == last
+    assert len(glob.glob(f"{out.removeprefix('file:')}/batch-*")) == 2
+
+
 def test_towns_without_revenue_come_last(spark):
     batch = spark.createDataFrame([("A", None, None), ("B", 1.0, 1.0)], "town string, purchase_amount double, electricity_units double")
     assert [r.town for r in live.live_town_activity(batch).collect()] == ["B", "A"]

@@ -357,13 +357,13 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _live_reports(spark: SparkSession, folder: str) -> str:
-    """Events dropped as CSV files, followed by the live job; returns its output folder."""
+    """Events dropped as CSV files, followed by the live job; returns the folder it published."""
     drop, out = new_path(spark, "drop"), new_path(spark, "live")
     events = live_events(spark, folder)
     sinks.write_csv_files(events, drop)
     stream = files.csv_stream(spark, drop, events.schema)
     live.start_live(stream, out, new_path(spark, "offsets"), {"availableNow": True}).awaitTermination()
-    return out
+    return live.published(spark, out)
 
 
 def _read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
