@@ -9,7 +9,7 @@ from wattline import session
 from wattline.operators import clean, features, forecast, gold, risk
 from wattline.plans import medallion, queries, revenue
 from wattline.session import materialize, new_path
-from wattline.sources import sinks
+from wattline.sources import files, sinks
 from wattline.sources.files import read_table
 from wattline.sources.star_schema import transactions
 
@@ -200,3 +200,43 @@ def test_forecast_tables_are_written(spark, small):
     assert stored["unit_forecast"].count() == 3 * forecast.HORIZON
     assert stored["model_comparison"].count() == daily.select("series_key").distinct().count() * 5
     assert {"date", "forecast_revenue", "status"} <= set(stored["revenue_forecast"].columns)
+
+
+def test_exports_and_stored_steps_are_packed(spark, small, tmp_path):
+    raw = queries.raw_sales(spark, small)
+    sinks.write_csv_files(raw, f"{tmp_path}/csv")
+    names = [n for n in os.listdir(f"{tmp_path}/csv") if n.startswith("part")]
+    assert names and all(n.endswith(".csv.gz") for n in names)
+    assert files.read_raw_csv(spark, f"{tmp_path}/csv").count() == raw.count()
+    sinks.write_csv(raw.limit(3), f"{tmp_path}/report")
+    assert any(n.endswith(".csv") for n in os.listdir(f"{tmp_path}/report"))
+    sinks.write_table(raw, f"{tmp_path}/table")
+    assert any(n.endswith(".zstd.parquet") for n in os.listdir(f"{tmp_path}/table"))
+
+
+def test_sales_are_not_moved_by_customer(spark, small):
+    """An order looks up its customer before the sales look up their order."""
+    text = queries.sales(spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= text.index("Join LeftOuter, (l_orderkey") < text.index("Join LeftOuter, (o_custkey")
+
+
+def test_repeated_and_missing_lookups_multiply_sales(spark, tmp_path):
+    """A customer that comes twice gives each of its sales twice; without an order or a customer a sale stays."""
+    tables = {
+        "lineitem": spark.createDataFrame(
+            [(1, 7, 1), (2, 7, 1), (3, 7, 1), (None, 7, 1)], "l_orderkey BIGINT, l_suppkey BIGINT, l_linenumber INT"
+        ),
+        "orders": spark.createDataFrame([(1, 10), (1, 11), (2, None)], "o_orderkey BIGINT, o_custkey BIGINT"),
+        "customer": spark.createDataFrame(
+            [(10, "a", 0), (10, "b", 9), (None, "c", 0)], "c_custkey BIGINT, c_name STRING, c_nationkey INT"
+        ),
+        "nation": spark.createDataFrame([(0, "N"), (0, "M")], "n_nationkey INT, n_name STRING"),
+    }
+    for name, table in tables.items():
+        table.write.parquet(f"{tmp_path}/{name}.parquet")
+    found = transactions(spark, str(tmp_path), ("receipt_number", "meter_number", "account_number", "town"))
+    expected = [
+        (11, 10, "a", "M"), (11, 10, "a", "N"), (11, 10, "b", None), (11, 11, None, None),
+        (21, None, None, None), (31, None, None, None), (None, None, None, None),
+    ]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)

@@ -9,6 +9,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 
+#: Rows of a packed CSV file, one task's work for those who read it: some 100 MB of text.
+PACKED_ROWS = 500_000
+
+
 def layout(df: DataFrame, files: int | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Arrange rows into output files.
 
@@ -25,6 +29,11 @@ def layout(df: DataFrame, files: int | None = None, by: Sequence[str] = ()) -> D
     return df.coalesce(1) if files == 1 else df.repartition(files)
 
 
+def _packed(fmt: str) -> dict[str, str]:
+    """A codec that takes a third less than the default one of Parquet files."""
+    return {"compression": "zstd"} if fmt == "parquet" else {}
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -32,7 +41,7 @@ def write_table(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
 ) -> None:
-    writer = df.write.mode(mode).format(fmt)
+    writer = df.write.mode(mode).format(fmt).options(**_packed(fmt))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
@@ -44,17 +53,23 @@ def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     Delta merges the schema on write. Parquet keeps each file's own columns and
     `read_table(..., merge_schema=True)` unites them.
     """
-    df.write.mode("append").format(fmt).option("mergeSchema", True).save(path)
+    df.write.mode("append").format(fmt).options(**_packed(fmt)).option("mergeSchema", True).save(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """One CSV file with a header, for report-sized results only."""
-    write_csv_files(df.coalesce(1), path, "overwrite")
+    write_csv_files(df.coalesce(1), path, "overwrite", packed=False)
+
 
+def write_csv_files(df: DataFrame, path: str, mode: str = "errorifexists", packed: bool = True) -> None:
+    """CSV files with a header; text keeps its leading and trailing blanks.
 
-def write_csv_files(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV files with a header; text keeps its leading and trailing blanks."""
+    Packed files are gzip, written at its fastest level. They are read in one piece, so each holds at most PACKED_ROWS.
+    """
     writer = df.write.mode(mode).option("header", True)
+    if packed:
+        writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+        writer.option("maxRecordsPerFile", PACKED_ROWS)
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 

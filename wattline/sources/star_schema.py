@@ -56,15 +56,16 @@ def transactions(
     df = table("lineitem")
     by_customer = "town" in needs and town == "customer"
     if needs & {"orders", "customer"} or by_customer:
-        df = df.join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    if "customer" in needs or by_customer:
-        df = df.join(table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
-    if "town" in needs:
-        key = "c_nationkey"
-        if town == "supplier":
-            df = df.join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"), "left")
-            key = "s_nationkey"
-        df = df.join(table("nation"), F.col(key) == F.col("n_nationkey"), "left")
+        # An order looks up its customer before the sales look up their order: that moves orders, not sales, by customer.
+        bought = table("orders")
+        if "customer" in needs or by_customer:
+            bought = bought.join(table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+        if by_customer:
+            bought = bought.join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        df = df.join(bought, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    if "town" in needs and town == "supplier":
+        df = df.join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        df = df.join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left")
     return df.select(*[F.expr(_COLUMNS[c][1]).alias(c) for c in wanted])
 
 
