@@ -214,6 +214,30 @@ def test_exports_and_stored_steps_are_packed(spark, small, tmp_path):
     assert any(n.endswith(".zstd.parquet") for n in os.listdir(f"{tmp_path}/table"))
 
 
+def test_known_receipts_are_found_without_another_shuffle(spark, tmp_path):
+    """The second run leaves rows where the search for duplicates put them, and adds a row without a receipt only once."""
+    out = str(tmp_path / "silver")
+    sent = queries.sale_messages(spark, "/root/testdata/sf0.001").limit(200)
+    named = materialize(sent, "messages")
+    unnamed = materialize(sent.limit(1).withColumn("transaction_id", F.lit(None).cast("string")), "unnamed")
+    medallion.silver_from_messages(named.limit(100), out)
+    wanted = named.select("transaction_id").distinct().count() + 1
+    appended = []
+    write = medallion.append_table
+    medallion.append_table = lambda df, *rest: (appended.append(df), write(df, *rest))
+    try:
+        assert medallion.silver_from_messages(named.unionByName(unnamed), out).count() == wanted
+        assert medallion.silver_from_messages(named.unionByName(unnamed), out).count() == wanted
+    finally:
+        medallion.append_table = write
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = appended[0].select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2, plan
+
+
 def test_sales_are_not_moved_by_customer(spark, small):
     """An order looks up its customer before the sales look up their order."""
     text = queries.sales(spark, small)._jdf.queryExecution().optimizedPlan().toString()

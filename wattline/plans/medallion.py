@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattline.functions.measures import count_where
 from wattline.operators import features, forecast, gold
 from wattline.operators import forest as outlier_forest
 from wattline.operators.clean import add_calendar, silver_clean, silver_sales, stamp
@@ -96,7 +97,10 @@ def silver_from_messages(
     fresh = messages.transform(to_canonical).transform(silver_sales).transform(stamp, "processing_date")
     if exists(spark, out):
         known = read_table(spark, out, fmt).select(F.col("receipt_number").alias("known_receipt"))
-        fresh = fresh.join(known, fresh["receipt_number"].eqNullSafe(known["known_receipt"]), "left_anti")
+        # By plain equality the join takes the rows where `dedup` left them; a NULL receipt matches nothing and is looked up apart.
+        unnamed = known.agg(count_where(F.col("known_receipt").isNull()) > 0).scalar()
+        fresh = fresh.join(known, fresh["receipt_number"] == known["known_receipt"], "left_anti")
+        fresh = fresh.filter(F.col("receipt_number").isNotNull() | ~unnamed)
     append_table(fresh, out, fmt)
     if database:
         ensure_table(spark, database, table, None, out, fmt)
