@@ -202,40 +202,12 @@ def test_forecast_tables_are_written(spark, small):
     assert {"date", "forecast_revenue", "status"} <= set(stored["revenue_forecast"].columns)
 
 
-def test_exports_and_stored_steps_are_packed(spark, small, tmp_path):
-    raw = queries.raw_sales(spark, small)
-    sinks.write_csv_files(raw, f"{tmp_path}/csv")
-    names = [n for n in os.listdir(f"{tmp_path}/csv") if n.startswith("part")]
-    assert names and all(n.endswith(".csv.gz") for n in names)
-    assert files.read_raw_csv(spark, f"{tmp_path}/csv").count() == raw.count()
-    sinks.write_csv(raw.limit(3), f"{tmp_path}/report")
-    assert any(n.endswith(".csv") for n in os.listdir(f"{tmp_path}/report"))
-    sinks.write_table(raw, f"{tmp_path}/table")
-    assert any(n.endswith(".zstd.parquet") for n in os.listdir(f"{tmp_path}/table"))
-
-
-def test_known_receipts_are_found_without_another_shuffle(spark, tmp_path):
-    """The second run leaves rows where the search for duplicates put them, and adds a row without a receipt only once."""
-    out = str(tmp_path / "silver")
-    sent = queries.sale_messages(spark, "/root/testdata/sf0.001").limit(200)
-    named = materialize(sent, "messages")
-    unnamed = materialize(sent.limit(1).withColumn("transaction_id", F.lit(None).cast("string")), "unnamed")
-    medallion.silver_from_messages(named.limit(100), out)
-    wanted = named.select("transaction_id").distinct().count() + 1
-    appended = []
-    write = medallion.append_table
-    medallion.append_table = lambda df, *rest: (appended.append(df), write(df, *rest))
-    try:
-        assert medallion.silver_from_messages(named.unionByName(unnamed), out).count() == wanted
-        assert medallion.silver_from_messages(named.unionByName(unnamed), out).count() == wanted
-    finally:
-        medallion.append_table = write
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = appended[0].select("*")._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert plan.count("Exchange hashpartitioning") == 2, plan
+def test_profile_ships_rows_and_not_their_sums(spark, small):
+    """The sums of a customer are three times as wide as a sale, and few sales share them."""
+    profile = features.customer_profile(queries.branch_sales(spark, small), F.lit("2001-01-01").cast("date"))
+    plan = profile._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Exchange hashpartitioning(meter_number")]
+    assert above.count("HashAggregate") == 2, "both halves of the sums lie above the one shuffle by customer"
 
 
 def test_sales_are_not_moved_by_customer(spark, small):
@@ -264,3 +236,39 @@ def test_repeated_and_missing_lookups_multiply_sales(spark, tmp_path):
         (21, None, None, None), (31, None, None, None), (None, None, None, None),
     ]
     assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_known_receipts_are_found_without_another_shuffle(spark, tmp_path):
+    """The second run leaves rows where the search for duplicates put them, and adds a row without a receipt only once."""
+    out = str(tmp_path / "silver")
+    sent = queries.sale_messages(spark, "/root/testdata/sf0.001").limit(200)
+    named = materialize(sent, "messages")
+    unnamed = materialize(sent.limit(1).withColumn("transaction_id", F.lit(None).cast("string")), "unnamed")
+    medallion.silver_from_messages(named.limit(100), out)
+    wanted = named.select("transaction_id").distinct().count() + 1
+    appended = []
+    write = medallion.append_table
+    medallion.append_table = lambda df, *rest: (appended.append(df), write(df, *rest))
+    try:
+        assert medallion.silver_from_messages(named.unionByName(unnamed), out).count() == wanted
+        assert medallion.silver_from_messages(named.unionByName(unnamed), out).count() == wanted
+    finally:
+        medallion.append_table = write
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = appended[0].select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2, plan
+
+
+def test_exports_and_stored_steps_are_packed(spark, small, tmp_path):
+    raw = queries.raw_sales(spark, small)
+    sinks.write_csv_files(raw, f"{tmp_path}/csv")
+    names = [n for n in os.listdir(f"{tmp_path}/csv") if n.startswith("part")]
+    assert names and all(n.endswith(".csv.gz") for n in names)
+    assert files.read_raw_csv(spark, f"{tmp_path}/csv").count() == raw.count()
+    sinks.write_csv(raw.limit(3), f"{tmp_path}/report")
+    assert any(n.endswith(".csv") for n in os.listdir(f"{tmp_path}/report"))
+    sinks.write_table(raw, f"{tmp_path}/table")
+    assert any(n.endswith(".zstd.parquet") for n in os.listdir(f"{tmp_path}/table"))
