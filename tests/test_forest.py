@@ -141,3 +141,28 @@ def test_path_lengths_by_walking_the_tree(spark):
     want = [2 ** (-walk(row) / forest.average_path(64)) for row in data]
     assert got == pytest.approx(want)
     assert max(p for *_, p in nodes.values() if p) <= round((6 + forest.average_path(64)) * 1e6)
+
+
+def test_lowest_hashes_are_those_of_a_full_sort():
+    """Equal keys and keys that agree modulo the prime go by hash and features, whatever the order of arrival."""
+    chance = np.random.default_rng(5)
+    row = chance.integers(0, 2**52, 30_000)
+    row[:6_000] = row[6_000:12_000]
+    row[12_000:15_000] = row[15_000:18_000] % forest._PRIME
+    x = chance.integers(0, 3, (len(row), 3)).astype(float)
+    lowest = forest._Lowest(7, 64, 42)
+    for start in range(0, len(row), 5_000):
+        lowest.add(row[start : start + 5_000], x[start : start + 5_000])
+    found = [np.column_stack([c for c in lowest.shrink()])]
+    expected = []
+    for t in range(7):
+        drawn = (lowest.factor[t] * (row % forest._PRIME) + lowest.shift[t]) % forest._PRIME
+        order = np.lexsort((*x.T[::-1], row, drawn))[:64]
+        expected.append(np.column_stack([np.full(64, t), drawn[order], row[order], x[order]]))
+    assert np.array_equal(found[0], np.concatenate(expected))
+
+
+def test_modulo_at_the_ends():
+    p = forest._PRIME
+    values = np.array([0, 1, p - 1, p, p + 1, 2 * p, 2**31, 2**32, 2**62 - 1, 2**62, (p - 1) * (p - 1) + p - 1, p * p])
+    assert forest._modulo(values.copy()).tolist() == [int(v) % p for v in values]

@@ -165,6 +165,14 @@ def _row_hash(seed: int, keys: Sequence[str]) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
 
 
+def _modulo(x: np.ndarray) -> np.ndarray:
+    """`x % _PRIME` of numbers from 0 to 2^62, by shifts: a division takes several times as long."""
+    for _ in range(2):
+        x = (x & _PRIME) + (x >> 31)
+    x[x >= _PRIME] -= _PRIME
+    return x
+
+
 class _Lowest:
     """For every tree the rows with the lowest hashes so far, at most `sample` of them."""
 
@@ -179,8 +187,9 @@ class _Lowest:
         """Rows by their hashes and their features."""
         for start in range(0, len(row), _CHUNK):
             own, part = row[start : start + _CHUNK], x[start : start + _CHUNK]
-            drawn = (self.factor * (own % _PRIME) + self.shift) % _PRIME
-            if len(own) > self.sample:
+            drawn = _modulo(self.factor * (own % _PRIME) + self.shift)
+            # Later limits come from `shrink`, which sees more rows than a chunk has.
+            if len(own) > self.sample and self.limit.max() == _PRIME:
                 self.limit = np.minimum(self.limit, np.partition(drawn, self.sample - 1, axis=1)[:, self.sample - 1 :][:, :1])
             tree, at = np.nonzero(drawn <= self.limit)
             self.held.append((tree, drawn[tree, at], own[at], part[at]))
@@ -190,7 +199,13 @@ class _Lowest:
     def shrink(self) -> tuple[np.ndarray, ...]:
         """What is held, by tree and hash; equal hashes of equal keys go by the features."""
         tree, drawn, row, x = (np.concatenate(c) for c in zip(*self.held, strict=True))
-        order = np.lexsort((*x.T[::-1], row, drawn, tree))
+        key = (tree << 31) + drawn
+        order = np.argsort(key, kind="stable")
+        same = np.diff(key[order]) == 0
+        tied = np.flatnonzero(np.append(same, False) | np.append(False, same))
+        if len(tied):
+            some = order[tied]
+            order[tied] = some[np.lexsort((*x[some].T[::-1], row[some], key[some]))]
         tree, drawn, row, x = tree[order], drawn[order], row[order], x[order]
         place = np.arange(len(tree)) - np.searchsorted(tree, tree)
         last = place == self.sample - 1
