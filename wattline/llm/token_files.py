@@ -15,10 +15,12 @@ import os
 import re
 import struct
 from collections.abc import Callable, Iterator
-from itertools import islice
+from functools import cache
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,15 +34,52 @@ MAGIC = b"EFTOKENS"
 HEAD = struct.Struct("<8sqqqq")
 FILE_BYTES = 8 << 20
 PART_BYTES = 16 << 20
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 2 << 20
 CACHE_WORDS = 1 << 20
 CACHED_CHARS = 64
-
+#: Stretches that the library is given at once.
+GROUP_WORDS = 128
+#: Stretches whose ids are laid out at once, which bounds the memory a long document takes.
+BLOCK_WORDS = 1 << 16
 
 #: What each worker process remembers, by tokenizer file; kept from task to task.
 _KNOWN: dict[str, dict[bytes, bytes]] = {}
-#: A single full stop or comma behind a letter and before a space is a token of its own.
-_STOP = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
+#: Latin letters that stay one letter each when normalized and lower-cased.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-įı-ſ]+")
+
+
+@cache
+def _tokenizer(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def _stretches(texts: list[bytes]) -> tuple[pa.StringArray, np.ndarray]:
+    """The lower-cased stretches of all texts one after another, and for each text where its own end.
+
+    A single full stop or comma behind a Latin letter is a token of its own and is cut off at the end of a stretch.
+    """
+    given = pa.array(texts, pa.binary()).view(pa.string())
+    # Special tokens are written between <| and |> and must be met as they are.
+    lists = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(given, "<|"), given, pc.ascii_lower(given)))
+    words, ends = lists.flatten(), lists.offsets.to_numpy()[1:]
+    _, bounds, chars = words.buffers()
+    bounds = np.frombuffer(bounds, np.int32, len(words) + 1, 4 * words.offset)
+    long = np.flatnonzero(np.diff(bounds) > 1)
+    if not len(long):
+        return words, ends
+    last = bounds[long + 1] - 1
+    codes = np.frombuffer(chars, np.uint8)
+    behind = codes[last - 1]
+    letter = (behind >= ord("a")) & (behind <= ord("z"))
+    # U+00C0 to U+00FF but for the signs of multiplication and division
+    letter |= (codes[last - 2] == 0xC3) & (behind >= 0x80) & (behind != 0x97) & (behind != 0xB7)
+    cut = letter & ((codes[last] == ord(".")) | (codes[last] == ord(",")))
+    bounds = np.insert(bounds, long[cut] + 1, last[cut])
+    ends = ends + np.searchsorted(long[cut], ends)
+    return pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), chars), ends
 
 
 class WordEncoder:
@@ -51,28 +90,53 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = _tokenizer(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known = _KNOWN.setdefault(path, {})
 
+    def _learn(self, new: list[bytes]) -> None:
+        """Runs of letters are a word each to the library and go to it joined; the rest go as words of their own."""
+        plain, rest = [], []
+        for w in new:
+            (plain if _LETTERS.fullmatch(w.decode()) else rest).append(w)
+        for joined, words in ((True, plain), (False, rest)):
+            for i in range(0, len(words), GROUP_WORDS):
+                group = words[i : i + GROUP_WORDS]
+                asked = b" ".join(group).decode() if joined else [w.decode() for w in group]
+                found = self.tokenizer.encode(asked, is_pretokenized=not joined, add_special_tokens=False)
+                sizes = np.bincount(np.array(found.word_ids, np.int64), minlength=len(group))
+                if joined and not (len(sizes) == len(group) and sizes.all()):
+                    rest += group
+                    continue
+                ids = np.array(found.ids, self.kind).tobytes()
+                ends = (np.cumsum(sizes) * self.kind.itemsize).tolist()
+                self.known.update(zip(group, [ids[a:b] for a, b in pairwise([0, *ends])], strict=True))
+
     def __call__(self, texts: list[bytes], end: bytes) -> list[bytes]:
-        # Special tokens are written between <| and |> and must be met as they are. Of bytes, split() takes ASCII spaces.
-        docs = [(t if b"<|" in t else _STOP.sub(rb" \1", t.lower())).split() for t in texts]
-        known = self.known
-        new = list(set().union(*docs).difference(known))
-        found = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        known.update(zip(new, [np.array(e.ids, self.kind).tobytes() for e in found], strict=True))
-        out = [b"".join(map(known.__getitem__, words)) + end for words in docs]
+        known, width = self.known, self.kind.itemsize
+        stretches, ends = _stretches(texts)
+        coded = stretches.dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        new = [w for w in words if w not in known]
+        self._learn(new)
+        values = [*map(known.__getitem__, words), end]
         for w in new:
             if len(w) > CACHED_CHARS:
                 del known[w]
         if len(known) > CACHE_WORDS:
             for w in list(islice(known, len(known) - CACHE_WORDS // 2)):
                 del known[w]
-        return out
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // width
+        starts, ids = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(values), self.kind)
+        codes = np.insert(coded.indices.to_numpy(), ends, len(words))
+        laid, counts = [], sizes[codes]
+        for i in range(0, len(codes), BLOCK_WORDS):
+            block, n = codes[i : i + BLOCK_WORDS], counts[i : i + BLOCK_WORDS]
+            upto = np.cumsum(n)
+            laid.append(ids[np.repeat(starts[block] - upto + n, n) + np.arange(upto[-1])].tobytes())
+        data = memoryview(b"".join(laid))
+        upto = np.cumsum(counts)[ends + np.arange(len(ends))] * width
+        return [bytes(data[a:b]) for a, b in pairwise([0, *upto.tolist()])]
 
 
 def pack(order: int, doc_ids: list[int | None], ids: list[bytes], width: int) -> bytes:
